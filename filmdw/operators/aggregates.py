@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from filmdw.functions.dates import loaded_at
 from filmdw.functions.numbers import billions, millions
-from filmdw.operators.lookup import lookup
 
 
 def measures() -> list[Column]:
@@ -48,12 +47,12 @@ def aggregate_by_genre(
 
 
 def aggregate_by_year(fact: DataFrame, times: DataFrame, as_of: str | None = None) -> DataFrame:
-    """Yearly trends. Rows without a known day are left out."""
-    rows = lookup(
-        fact.select("time_id", *_MEASURED).where(F.col("time_id").isNotNull()),
-        times.select("time_id", "year"),
-        "time_id",
-    ).where(F.col("year").isNotNull())
+    """Yearly trends. Rows without a known day are left out.
+
+    The broadcast has one row per calendar day at most.
+    """
+    years = times.select("time_id", "year")
+    rows = fact.select("time_id", *_MEASURED).join(F.broadcast(years), "time_id")
     return rows.groupBy("year").agg(*measures()).withColumn("last_updated", loaded_at(as_of))
 
 

@@ -8,7 +8,7 @@ from filmdw.fixed_values import UNKNOWN, UNKNOWN_COUNTRY_CODE
 from filmdw.functions.dates import loaded_at
 from filmdw.functions.numbers import billions, both_positive
 from filmdw.functions.text import first_known, shown_title, tokens
-from filmdw.operators.lookup import first_match, lookup
+from filmdw.operators.lookup import calendar_lookup, first_match, lookup
 from filmdw.schemas import FACT
 from filmdw.sources.constants import language_countries
 
@@ -66,28 +66,40 @@ def retained(staging: DataFrame) -> DataFrame:
 
 def build_fact(
     staging: DataFrame,
-    genres: DataFrame,
-    times: DataFrame,
-    countries: DataFrame,
-    studios: DataFrame,
+    genres: DataFrame | None = None,
+    times: DataFrame | None = None,
+    countries: DataFrame | None = None,
+    studios: DataFrame | None = None,
     country_mode: str = "code",
     as_of: str | None = None,
+    unique_names: bool = True,
 ) -> DataFrame:
     """One row per retained title and genre token.
 
-    A blank or unmatched token stays with a NULL genre. The title-grain keys
-    are looked up before the tokens multiply the rows.
+    A blank or unmatched token stays with a NULL genre. A dimension that is not
+    given is not looked up and its key is absent, for callers that need the
+    grain and only some keys. The title-grain keys are looked up before the
+    tokens multiply the rows. Dimensions that may repeat a name
+    (``unique_names=False``) give the lowest key of the name.
     """
+
+    def named_keys(dim: DataFrame, name: str, key: str) -> DataFrame:
+        return dim.select(name, key) if unique_names else first_match(dim, name, key)
+
     rows = retained(staging).select(*_CARRIED, "genres", "release_date", "studio_name")
-    rows = lookup(
-        rows, times.select(F.col("full_date").alias("release_date"), "time_id"), "release_date"
-    )
-    rows = with_country(rows, countries, country_mode)
-    rows = lookup(rows, first_match(studios, "studio_name", "studio_id"), "studio_name")
+    if times is not None:
+        rows = calendar_lookup(rows, times, "release_date")
+    if countries is not None:
+        rows = with_country(rows, countries, country_mode)
+    if studios is not None:
+        rows = lookup(rows, named_keys(studios, "studio_name", "studio_id"), "studio_name")
     rows = rows.withColumn("genre_name", F.explode(tokens(F.col("genres"), trim=True)))
-    rows = lookup(rows, first_match(genres, "genre_name", "genre_id"), "genre_name")
+    if genres is not None:
+        rows = lookup(rows, named_keys(genres, "genre_name", "genre_id"), "genre_name")
     rows = rows.withColumn("created_date", loaded_at(as_of))
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in FACT if f.name != "fact_id"])
+    return rows.select(
+        *[F.col(f.name).cast(f.dataType) for f in FACT if f.name in rows.columns]
+    )
 
 
 def with_row_key(df: DataFrame, key: str) -> DataFrame:

@@ -42,6 +42,16 @@ def lookup(
     return in_place.unionByName(shuffled)
 
 
+def calendar_lookup(left: DataFrame, times: DataFrame, day: str) -> DataFrame:
+    """Left join to the day table on a date column, adding ``time_id``.
+
+    The calendar bounds the broadcast: years 1 to 9999 are 3.7 million days,
+    two numbers each, and a day occurs once.
+    """
+    days = times.select(F.col("full_date").alias(day), "time_id")
+    return left.join(F.broadcast(days), day, "left")
+
+
 def keep_unknown(left: DataFrame, keys: DataFrame, key: str, **limits) -> DataFrame:
     """Rows of ``left`` whose key is not in ``keys``; rows without a key stay."""
     known = keys.select(key).where(F.col(key).isNotNull()).distinct()

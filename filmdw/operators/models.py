@@ -9,7 +9,7 @@ from filmdw.functions.dates import loaded_at
 from filmdw.functions.numbers import both_positive, profit, roi
 from filmdw.functions.text import first_token
 from filmdw.operators.aggregates import measures
-from filmdw.operators.lookup import lookup
+from filmdw.operators.lookup import calendar_lookup, lookup
 
 
 def stg_movies(staging: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def fact_movies(
         }
     )
     rows = lookup(rows, genres.select("genre_name", "genre_id"), "genre_name")
-    rows = lookup(rows, times.select("full_date", "time_id"), "full_date")
+    rows = calendar_lookup(rows, times, "full_date")
     rows = lookup(rows, studios.select("studio_name", "studio_id"), "studio_name")
     return rows.select(
         "movie_id",

@@ -7,9 +7,12 @@ partition plus the number of rows in the partitions before it.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from filmdw.session import write_stage
+from filmdw.sources.constants import constant_rows
 
 # monotonically_increasing_id keeps the partition above bit 33 and the place below
 _PLACE_BITS = 33
@@ -36,18 +39,19 @@ def number_rows(
     columns = df.columns
     tied = df.withColumn("_input", F.monotonically_increasing_id())
     rows = _written_in_order(tied, [*order_by, "_input"], label)
-    sizes = rows.groupBy(_part().alias("_part")).agg(F.count("*").alias("_rows"))
-    # one row per partition, so neither the window nor the broadcast grows with the data
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
-    )
-    place = F.col("_slot").bitwiseAND(_PLACE_MASK)
-    return (
-        rows.withColumn("_part", _part())
-        .join(F.broadcast(offsets), "_part")
-        .select((F.col("_before") + place + start).alias(out), *columns)
-    )
+    place = F.col("_slot").bitwiseAND(_PLACE_MASK) + start
+    # one pair per partition reaches the driver, however many rows there are
+    sizes = rows.groupBy(_part().alias("_part")).agg(F.count("*").alias("_rows")).collect()
+    ends = list(accumulate(row["_rows"] for row in sorted(sizes, key=lambda r: r["_part"])))
+    if len(ends) > 1:
+        offsets = constant_rows(
+            df.sparkSession,
+            ["_part", "_before"],
+            list(zip(sorted(row["_part"] for row in sizes), [0, *ends])),
+        )
+        rows = rows.withColumn("_part", _part()).join(F.broadcast(offsets), "_part")
+        place = place + F.col("_before")
+    return rows.select(place.cast("bigint").alias(out), *columns)
 
 
 def surrogate_keys(names: DataFrame, order_by: list[str], key: str) -> DataFrame:

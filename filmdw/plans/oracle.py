@@ -219,7 +219,7 @@ PARTS = {
         SELECT *, revenue - predicted_revenue AS prediction_error,
                CASE WHEN substr(md5(CAST(id AS VARCHAR)), 1, 8) < '33333333' THEN 'test'
                     ELSE 'train' END AS split
-        FROM (SELECT *, 1000.0::DOUBLE + budget * 0.5 + runtime * 100.0 + popularity * 10.0
+        FROM (SELECT *, 1000.0::DOUBLE + budget * 1.0 + runtime * 100.0 + popularity * 10.0
                         + vote_average * 250.0 + vote_count * 50.0 + release_year * 2.0
                         + release_month * 4.0 + genre_encoded * 8.0 + studio_freq * 1.0
                         AS predicted_revenue

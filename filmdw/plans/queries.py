@@ -24,7 +24,7 @@ from filmdw.operators import (
     staging as stages,
 )
 from filmdw.operators.lookup import keep_known, keep_unknown, lookup
-from filmdw.session import scratch_root, write_stage
+from filmdw.session import run_together, scratch_root, write_stage
 from filmdw.sources.bindings import (
     detail_documents,
     raw_from_orders,
@@ -62,20 +62,28 @@ def rounded_measures(df: DataFrame) -> DataFrame:
     )
 
 
+BUILDERS = {
+    "genres": dimensions.build_dim_genre,
+    "times": dimensions.build_dim_time,
+    "countries": dimensions.build_dim_country,
+    "studios": dimensions.build_dim_studio,
+}
+CHECKED = ("genres", "times", "studios")
+
+
 @dataclass(frozen=True)
 class Star:
-    """Staging, written once because every table is built from it, and the dimensions."""
+    """Staging, written once because several tables are built from it, and dimensions."""
 
     staging: DataFrame
-    genres: DataFrame
-    times: DataFrame
-    countries: DataFrame
-    studios: DataFrame
-
-    def fact(self, mode: str = "code") -> DataFrame:
-        return facts.build_fact(
-            self.staging, self.genres, self.times, self.countries, self.studios, mode, AS_OF
-        )
+    genres: DataFrame | None = None
+    times: DataFrame | None = None
+    countries: DataFrame | None = None
+    studios: DataFrame | None = None
+
+    def fact(self) -> DataFrame:
+        dims = (self.genres, self.times, self.countries, self.studios)
+        return facts.build_fact(self.staging, *dims, as_of=AS_OF)
 
     def model_stg(self) -> DataFrame:
         return models.stg_movies(self.staging)
@@ -84,15 +92,11 @@ class Star:
         return models.fact_movies(self.model_stg(), self.genres, self.times, self.studios, AS_OF)
 
 
-def star(spark: SparkSession, sf_dir: str) -> Star:
+def star(spark: SparkSession, sf_dir: str, *wanted: str) -> Star:
+    """Staging and the dimensions a query needs."""
     staging = write_stage(staging_from_orders(spark, sf_dir), "staging")
-    return Star(
-        staging,
-        dimensions.build_dim_genre(staging, AS_OF),
-        dimensions.build_dim_time(staging, AS_OF),
-        dimensions.build_dim_country(staging, AS_OF),
-        dimensions.build_dim_studio(staging, AS_OF),
-    )
+    builds = [lambda b=BUILDERS[name]: b(staging, AS_OF) for name in wanted]
+    return Star(staging, **dict(zip(wanted, run_together(*builds))))
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,25 +136,25 @@ def dim_studio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fact_genre_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = star(spark, sf_dir).fact().drop("created_date")
+    rows = star(spark, sf_dir, *BUILDERS).fact().drop("created_date")
     return rounded(rows, profit=2, roi=6)
 
 
 @register
 def fact_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.null_key_counts(star(spark, sf_dir).fact())
+    return facts.null_key_counts(star(spark, sf_dir, *CHECKED).fact())
 
 
 @register
 def fact_top_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, "genres", "times")
     rows = facts.top_revenue(tables.fact(), tables.genres, tables.times)
     return rounded(rows, profit=2, roi=6, revenue_billions=9)
 
 
 @register
 def fact_model_first_token(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = star(spark, sf_dir).model_fact().drop("updated_at")
+    rows = star(spark, sf_dir, *CHECKED).model_fact().drop("updated_at")
     return rounded(rows, profit=2, roi=6)
 
 
@@ -232,7 +236,7 @@ def documents_without_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def sample_coverage_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage of a 100-title sample, which is the operator, in whole layers."""
-    tables = star(spark, sf_dir)
+    tables = Star(write_stage(staging_from_orders(spark, sf_dir), "staging"))
     sample = tables.staging.select("movie_id").orderBy("movie_id").limit(100)
     layers = {STAGING_TABLE: tables.staging, FACT_TABLE: tables.fact()}
     return rounded(quality.sample_coverage(sample, layers), pct=6)
@@ -243,35 +247,35 @@ def sample_coverage_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def genre_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, "genres")
     rows = aggregates.aggregate_by_genre(tables.fact(), tables.genres, AS_OF)
     return rounded_measures(rows.drop("last_updated"))
 
 
 @register
 def yearly_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, "times")
     rows = aggregates.aggregate_by_year(tables.fact(), tables.times, AS_OF)
     return rounded_measures(rows.drop("last_updated"))
 
 
 @register
 def agg_by_genre_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, *CHECKED)
     rows = models.agg_by_genre(tables.model_fact(), tables.genres, AS_OF)
     return rounded_measures(rows.drop("last_updated"))
 
 
 @register
 def top_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, "genres")
     rows = aggregates.aggregate_by_genre(tables.fact(), tables.genres, AS_OF)
     return rounded(aggregates.top_genres(rows), revenue_billions=9, avg_roi=6)
 
 
 @register
 def recent_years(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, "times")
     rows = aggregates.aggregate_by_year(tables.fact(), tables.times, AS_OF)
     return rounded(aggregates.recent_years(rows), revenue_billions=9, avg_budget_millions=9)
 
@@ -522,34 +526,35 @@ def _report(tables: Star) -> DataFrame:
 
 @register
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _report(star(spark, sf_dir)).drop("timestamp")
+    rows = _report(star(spark, sf_dir, *CHECKED)).drop("timestamp")
     return rounded(rows, invalid_percentage=6)
 
 
 @register
 def dq_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(quality.overall_quality(_report(star(spark, sf_dir))), invalid_percentage=6)
+    return rounded(quality.overall_quality(_report(star(spark, sf_dir, *CHECKED))), invalid_percentage=6)
 
 
 @register
 def top_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.top_issues(_report(star(spark, sf_dir)))
+    return quality.top_issues(_report(star(spark, sf_dir, *CHECKED)))
 
 
 @register
 def multi_genre_films(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.repeated_titles(star(spark, sf_dir).fact())
+    return quality.repeated_titles(facts.build_fact(staging_from_orders(spark, sf_dir)))
 
 
 @register
 def loss_making_films(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(quality.loss_making(star(spark, sf_dir).fact()), pct=6)
+    fact = facts.build_fact(staging_from_orders(spark, sf_dir))
+    return rounded(quality.loss_making(fact), pct=6)
 
 
 @register
 def dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 11 column tests of the models."""
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, *CHECKED)
     fact = write_stage(tables.model_fact(), "model_fact")
     return quality.model_tests(
         tables.model_stg(),
@@ -591,7 +596,7 @@ def dq_combined_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def dq_layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, *CHECKED)
     return quality.layer_counts(
         {
             STAGING_TABLE: tables.staging,
@@ -657,7 +662,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 GIVEN_RULE = regression.LinearRule(
     1000.0,
     {
-        "budget": 0.5,
+        "budget": 1.0,
         "runtime": 100.0,
         "popularity": 10.0,
         "vote_average": 250.0,
@@ -760,14 +765,14 @@ def _rounded_forecast(rows: DataFrame) -> DataFrame:
 
 @register
 def yearly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, "times")
     rows = aggregates.aggregate_by_year(tables.fact(), tables.times, AS_OF)
     return rounded(forecast.yearly_series(rows), y=9)
 
 
 @register
 def yearly_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = star(spark, sf_dir)
+    tables = star(spark, sf_dir, "times")
     rows = aggregates.aggregate_by_year(tables.fact(), tables.times, AS_OF)
     return _rounded_forecast(forecast.trend_forecast(forecast.yearly_series(rows)))
 

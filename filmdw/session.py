@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,6 +62,12 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def run_together(*works: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Submit independent small jobs at once, so that none leaves the cluster idle."""
+    with ThreadPoolExecutor(len(works)) as pool:
+        return list(pool.map(lambda work: work(), works))
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete the written intermediate tables once their results are saved."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/filmdw")
