@@ -53,23 +53,30 @@ def dim_genre(genres: DataFrame, as_of: str | None = None) -> DataFrame:
 
 def fact_movies(
     stg: DataFrame,
-    genres: DataFrame,
-    times: DataFrame,
-    studios: DataFrame,
+    genres: DataFrame | None = None,
+    times: DataFrame | None = None,
+    studios: DataFrame | None = None,
     as_of: str | None = None,
 ) -> DataFrame:
-    """Keys of the first genre and studio as written; a miss leaves a NULL key."""
+    """Keys of the first genre and studio as written; a miss leaves a NULL key.
+
+    The key of a dimension that is not given is absent.
+    """
     rows = stg.withColumns(
         {
             "genre_name": first_token(F.col("genres")),
             "studio_name": first_token(F.col("production_companies")),
             "full_date": F.col("release_date").cast("date"),
+            "updated_at": loaded_at(as_of),
         }
     )
-    rows = lookup(rows, genres.select("genre_name", "genre_id"), "genre_name")
-    rows = calendar_lookup(rows, times, "full_date")
-    rows = lookup(rows, studios.select("studio_name", "studio_id"), "studio_name")
-    return rows.select(
+    if genres is not None:
+        rows = lookup(rows, genres.select("genre_name", "genre_id"), "genre_name")
+    if times is not None:
+        rows = calendar_lookup(rows, times, "full_date")
+    if studios is not None:
+        rows = lookup(rows, studios.select("studio_name", "studio_id"), "studio_name")
+    columns = [
         "movie_id",
         "title",
         "genre_id",
@@ -84,8 +91,9 @@ def fact_movies(
         "vote_count",
         "popularity",
         "original_language",
-        loaded_at(as_of).alias("updated_at"),
-    )
+        "updated_at",
+    ]
+    return rows.select(*[c for c in columns if c in rows.columns])
 
 
 def agg_by_genre(fact: DataFrame, genres: DataFrame, as_of: str | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from filmdw.functions.text import primary_token
 from filmdw.operators.lookup import lookup
 from filmdw.operators.profiling import most_frequent, value_counts
 from filmdw.operators.ranking import exact_median, number_rows
-from filmdw.session import write_stage
+from filmdw.session import run_together, write_stage
 from filmdw.sources.constants import constant_rows
 
 
@@ -58,10 +58,13 @@ def regression_features(cleaned: DataFrame, key: str = "id") -> DataFrame:
     used = [key, "title", "revenue", "genres", "production_companies"]
     used += [c for c in FEATURES if c in cleaned.columns]
     rows = write_stage(with_primary(cleaned.select(*used)), "features")
-    rows = lookup(rows, label_codes(rows, "primary_genre", "genre_encoded"), "primary_genre")
-    studios = write_stage(frequencies(rows, "primary_studio", "studio_freq"), "studios")
-    rows = lookup(rows, studios, "primary_studio")
-    filled = rows.withColumn("runtime", F.coalesce("runtime", exact_median(rows, "runtime")))
+    codes, studios, median = run_together(
+        lambda: label_codes(rows, "primary_genre", "genre_encoded"),
+        lambda: write_stage(frequencies(rows, "primary_studio", "studio_freq"), "studios"),
+        lambda: exact_median(rows, "runtime"),
+    )
+    coded = lookup(lookup(rows, codes, "primary_genre"), studios, "primary_studio")
+    filled = coded.withColumn("runtime", F.coalesce("runtime", median))
     filled = filled.na.fill(0.0, ["popularity", "vote_average", "vote_count"])
     filled = filled.na.fill(1, ["studio_freq"])
     return filled.where(F.col("revenue") > 0)

@@ -62,7 +62,7 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run_together(*works: Callable[[], DataFrame]) -> list[DataFrame]:
+def run_together(*works: Callable) -> list:
     """Submit independent small jobs at once, so that none leaves the cluster idle."""
     with ThreadPoolExecutor(len(works)) as pool:
         return list(pool.map(lambda work: work(), works))
