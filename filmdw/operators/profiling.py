@@ -67,18 +67,20 @@ def distinct_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     so no value and no column is gathered in one task.
     """
     columns = df.columns
+    kinds = dict(df.dtypes)
+
+    def value(c: str) -> Column:
+        if kinds[c] not in ("float", "double"):
+            return F.col(c)
+        # NaN is a missing value; adding zero makes -0.0 and 0.0 one value
+        return F.when(~F.isnan(c), F.col(c) + 0.0)
+
     if approximate:
-        counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns])
+        counts = df.agg(*[F.approx_count_distinct(value(c)).alias(c) for c in columns])
         pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values")) for c in columns]
         return counts.select(F.inline(F.array(*pairs)))
-    kinds = dict(df.dtypes)
-    # adding zero makes -0.0 and 0.0 one value
-    zero = {c: 0.0 for c in columns if kinds[c] in ("float", "double")}
     pairs = [
-        F.struct(
-            F.lit(c).alias("column"),
-            (F.col(c) + zero[c] if c in zero else F.col(c)).cast("string").alias("value"),
-        )
+        F.struct(F.lit(c).alias("column"), value(c).cast("string").alias("value"))
         for c in columns
     ]
     values = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()

@@ -23,6 +23,8 @@ def read_csv(
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

@@ -6,8 +6,15 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of delimited part files with headers."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """A folder of delimited part files with headers; blanks around text are kept."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def publish(df: DataFrame, path: str) -> None:

@@ -77,7 +77,7 @@ def load_new_files(
 
 def read_loaded(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
     """Everything a stream has loaded."""
-    return spark.read.schema(schema).parquet(target)
+    return spark.read.schema(schema).parquet(target).select(*schema.names)
 
 
 def load_new_ids(
@@ -95,17 +95,15 @@ def load_new_ids(
     Repeats inside a batch are reduced to one row. A replayed batch does not
     see its own first attempt, which it overwrites.
     """
-    staging_schema = STAGING
 
     def unseen(batch: DataFrame, batch_id: int) -> DataFrame:
         rows = parse_details(batch, as_of)
-        known = spark.createDataFrame([], "movie_id bigint")
+        known = spark.createDataFrame([], "movie_id bigint") if staged is None else staged
+        known = known.select("movie_id")
         if batch_id > 0:
-            # batch folders before this one
-            paths = [f"{target}/batch_id={i}" for i in range(batch_id)]
-            known = spark.read.schema(staging_schema).parquet(*paths).select("movie_id")
-        if staged is not None:
-            known = known.unionByName(staged.select("movie_id"))
+            before = spark.read.schema(STAGING).parquet(target)
+            before = before.where(F.col("batch_id") < batch_id)
+            known = known.unionByName(before.select("movie_id"))
         return delta_load(known, rows, dedupe=True)
 
     added = []
