@@ -17,7 +17,7 @@ def lookup(
     left: DataFrame,
     keys: DataFrame,
     key: str,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
     hot_share: int = HOT_SHARE,
 ) -> DataFrame:
     """Left join of ``left`` to ``keys`` on ``key``; every left row is kept once
@@ -27,7 +27,7 @@ def lookup(
     in two ways: the rows of hot keys, and those without a key, meet a broadcast
     of the hot entries; the others, none of them hot, are shuffled.
     """
-    if keys.count() <= broadcast_rows:
+    if keys.count() <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
         return left.join(F.broadcast(keys), key, "left")
 
     rows = write_stage(left, "lookup")

@@ -8,7 +8,8 @@ from filmdw.fixed_values import FACT_TABLE, QUALITY_RULES, STAGING_TABLE
 from filmdw.functions.dates import loaded_at
 from filmdw.functions.numbers import both_positive, percent
 from filmdw.functions.status import job_status, overall_grade, rule_status
-from filmdw.operators.lookup import BROADCAST_ROWS
+from filmdw.operators.lookup import BROADCAST_ROWS, keep_known
+from filmdw.session import write_stage
 
 
 def _out_of_range(rating: Column) -> Column:
@@ -374,16 +375,18 @@ def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def sample_coverage(sample: DataFrame, layers: dict[str, DataFrame]) -> DataFrame:
-    """(layer, found, pct, passed): share of sampled ids present in each layer.
+def ordered_sample(df: DataFrame, key: str, n: int = 100) -> DataFrame:
+    """The first ``n`` rows in key order."""
+    return df.orderBy(key).limit(n)
 
-    The sample is a small fixed number of ids; it is broadcast against each layer.
-    """
-    ids = sample.select("movie_id").distinct()
+
+def sample_coverage(sample: DataFrame, layers: dict[str, DataFrame]) -> DataFrame:
+    """(layer, found, pct, passed): share of sampled ids present in each layer."""
+    ids = write_stage(sample.select("movie_id").distinct(), "sample")
     size = ids.agg(F.count("*").alias("n")).scalar()
     result = None
     for name, frame in layers.items():
-        hits = frame.select("movie_id").join(F.broadcast(ids), "movie_id", "left_semi")
+        hits = keep_known(frame.select("movie_id"), ids, "movie_id")
         pct = percent(F.col("found"), size)
         row = hits.agg(F.countDistinct("movie_id").alias("found")).select(
             F.lit(name).alias("layer"),

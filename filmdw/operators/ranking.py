@@ -29,16 +29,20 @@ def _part() -> Column:
 
 
 def number_rows(
-    df: DataFrame, order_by: list[str], out: str, label: str, start: int = 1
+    df: DataFrame, order_by: list[str], out: str, label: str, start: int = 1, unique: bool = False
 ) -> DataFrame:
     """Add ``out``: the position of each row in ``order_by`` order.
 
-    Ties are broken by input position, so a run of equal keys or of exact
-    copies is spread over partitions like any other rows.
+    Unless the order is ``unique``, ties are broken by input position, so a run
+    of equal keys or of exact copies is spread over partitions like any other
+    rows. That position is written first: a task that is run again after a lost
+    executor must see the one it saw before.
     """
     columns = df.columns
-    tied = df.withColumn("_input", F.monotonically_increasing_id())
-    rows = _written_in_order(tied, [*order_by, "_input"], label)
+    if not unique:
+        df = write_stage(df.withColumn("_input", F.monotonically_increasing_id()), label)
+        order_by = [*order_by, "_input"]
+    rows = _written_in_order(df, order_by, label)
     place = F.col("_slot").bitwiseAND(_PLACE_MASK) + start
     # one pair per partition reaches the driver, however many rows there are
     sizes = rows.groupBy(_part().alias("_part")).agg(F.count("*").alias("_rows")).collect()
@@ -56,7 +60,7 @@ def number_rows(
 
 def surrogate_keys(names: DataFrame, order_by: list[str], key: str) -> DataFrame:
     """Number a table of distinct names from 1."""
-    return number_rows(names, order_by, key, label=key)
+    return number_rows(names, order_by, key, label=key, unique=True)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:

@@ -32,7 +32,7 @@ def with_primary(rows: DataFrame) -> DataFrame:
 def label_codes(rows: DataFrame, column: str, code: str) -> DataFrame:
     """(column, code): codes from 0 in sorted order of the labels."""
     labels = rows.select(column).where(F.col(column).isNotNull()).distinct()
-    return number_rows(labels, [column], code, label="labels", start=0)
+    return number_rows(labels, [column], code, label="labels", start=0, unique=True)
 
 
 def frequencies(rows: DataFrame, column: str, out: str) -> DataFrame:

@@ -779,6 +779,11 @@ FINAL: dict[str, tuple[list[str], str]] = {
         """SELECT primary_genre, row_number() OVER (ORDER BY primary_genre) - 1 AS genre_encoded
            FROM (SELECT DISTINCT primary_genre FROM first_tokens)""",
     ),
+    "first_genre_labels": (
+        ["first_tokens"],
+        """SELECT row_number() OVER (ORDER BY primary_genre) - 1 AS genre_encoded, primary_genre
+           FROM (SELECT DISTINCT primary_genre FROM first_tokens) ORDER BY 1 LIMIT 5""",
+    ),
     "studio_frequency": (
         ["first_tokens"],
         """SELECT primary_studio, COUNT(*) AS studio_freq FROM first_tokens
@@ -829,6 +834,11 @@ FINAL: dict[str, tuple[list[str], str]] = {
         """SELECT make_date(year, 1, 1) AS ds, year, ROUND(total_revenue / 1e9, 9) AS y
            FROM yearly WHERE year BETWEEN 1980 AND 2024""",
     ),
+    "recent_history": (
+        ["yearly"],
+        """SELECT make_date(year, 1, 1) AS ds, year, ROUND(total_revenue / 1e9, 9) AS y
+           FROM yearly WHERE year BETWEEN 1999 AND 2024""",
+    ),
     "yearly_forecast": (["yearly"], _forecast("yearly")),
     "segment_forecast": (["segment_years"], _forecast("segment_years", "c_mktsegment")),
     "incremental_events": (

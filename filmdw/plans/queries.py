@@ -237,7 +237,7 @@ def documents_without_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_coverage_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage of a 100-title sample, which is the operator, in whole layers."""
     tables = Star(write_stage(staging_from_orders(spark, sf_dir), "staging"))
-    sample = tables.staging.select("movie_id").orderBy("movie_id").limit(100)
+    sample = quality.ordered_sample(tables.staging.select("movie_id"), "movie_id")
     layers = {STAGING_TABLE: tables.staging, FACT_TABLE: tables.fact()}
     return rounded(quality.sample_coverage(sample, layers), pct=6)
 
@@ -625,6 +625,7 @@ def events_props_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listing_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages of twenty ids, read back as one row per id."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    # a page holds at most twenty ids: the key is unique
     pages = orders.groupBy(F.floor(F.col("o_orderkey") / 20).alias("page")).agg(
         F.collect_list(F.struct(F.col("o_orderkey").alias("id"))).alias("results")
     )
@@ -687,6 +688,13 @@ def genre_label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regression.label_codes(rows, "primary_genre", "genre_encoded")
 
 
+@register
+def first_genre_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = regression.with_primary(staging_from_orders(spark, sf_dir))
+    codes = regression.label_codes(rows, "primary_genre", "genre_encoded")
+    return regression.first_labels(codes, "primary_genre", "genre_encoded")
+
+
 @register
 def studio_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = regression.with_primary(staging_from_orders(spark, sf_dir))
@@ -777,6 +785,14 @@ def yearly_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_forecast(forecast.trend_forecast(forecast.yearly_series(rows)))
 
 
+@register
+def recent_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = star(spark, sf_dir, "times")
+    rows = aggregates.aggregate_by_year(tables.fact(), tables.times, AS_OF)
+    series = forecast.recent_history(forecast.yearly_series(rows), first_year=1999)
+    return rounded(series, y=9)
+
+
 @register
 def segment_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One forecast per customer segment, all fitted in one pass."""

@@ -10,7 +10,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from filmdw.fixed_values import FACT_TABLE, STAGING_TABLE
+from filmdw.functions.dates import seconds_between
+from filmdw.functions.status import batch_status
 from filmdw.operators.aggregates import aggregate_by_genre, aggregate_by_year
+from filmdw.operators.delta import delta_load, distinct_ids, parse_details
 from filmdw.operators.dimensions import (
     build_dim_country,
     build_dim_genre,
@@ -19,11 +22,19 @@ from filmdw.operators.dimensions import (
 )
 from filmdw.operators.fact import build_fact, with_row_key
 from filmdw.operators.quality import overall_quality, quality_report
-from filmdw.operators.staging import load_once, purge_staging
+from filmdw.operators.staging import (
+    load_once,
+    part_source,
+    purge_staging,
+    split_rejects,
+    staging_rows,
+)
 from filmdw.schemas import RUN_LOG, WAREHOUSE
+from filmdw.session import write_stage
 
 LOG_TABLE = "ETL_Log"
 REPORT_TABLE = "Quality_Report"
+REJECT_TABLE = "Staging_Rejects"
 
 
 @dataclass(frozen=True)
@@ -94,9 +105,39 @@ class Warehouse:
         fresh = load_once(self.read(STAGING_TABLE), rows)
         return self.append(STAGING_TABLE, self._keyed_after(fresh))
 
-    def stage_rows(self, rows: DataFrame) -> int:
-        """Append rows as they are, as the delta load does after its own check."""
-        return self.append(STAGING_TABLE, self._keyed_after(rows))
+    def _keep_rejects(self, rejects: DataFrame) -> int:
+        if self.exists(REJECT_TABLE):
+            return self.append(REJECT_TABLE, rejects)
+        return self.replace(REJECT_TABLE, rejects)
+
+    def load_part(self, cleaned: DataFrame, part: int, as_of: str | None = None) -> str:
+        """Load one numbered part at most once; returns the logged status.
+
+        Rows that cannot be staged go to the reject table, the others are loaded.
+        """
+        source, start = part_source(part), datetime.now(timezone.utc)
+        job = f"CSV_Chunk_{part}_to_Staging"
+        if not self.read(STAGING_TABLE).where(F.col("source") == source).isEmpty():
+            note = f"Chunk {part} already loaded"
+            self.log(job, start, datetime.now(timezone.utc), 0, 0, "SKIPPED", note)
+            return "SKIPPED"
+        rows = write_stage(staging_rows(cleaned, source, as_of, strict_dates=False), "part")
+        good, bad = split_rejects(rows)
+        loaded, failed = self.stage_batch(good), self._keep_rejects(bad)
+        status = "SUCCESS" if failed == 0 else "PARTIAL_SUCCESS"
+        self.log(job, start, datetime.now(timezone.utc), loaded, failed, status)
+        return status
+
+    def load_delta(self, details: DataFrame, as_of: str | None = None) -> int:
+        """Append detail documents whose id is not staged yet; returns how many."""
+        batch = write_stage(parse_details(details, as_of), "delta")
+        staged = distinct_ids(self.read(STAGING_TABLE))
+
+        def work() -> int:
+            fresh = self._keyed_after(delta_load(staged, batch))
+            return self.append(STAGING_TABLE, fresh)
+
+        return self.run("API_Refresh", work)
 
     def _keyed_after(self, rows: DataFrame) -> DataFrame:
         last = self.read(STAGING_TABLE).agg(F.coalesce(F.max("staging_id"), F.lit(0)))
@@ -183,3 +224,21 @@ class Warehouse:
         self.run("Load_Fact", lambda: self.load_fact(as_of))
         self.run("Load_Aggregations", lambda: self.load_aggregates(as_of))
         return self.validate(as_of)
+
+
+def run_summary(log: DataFrame) -> DataFrame:
+    """(job_name, start_time, seconds, rows_processed, rows_failed, outcome) of each run.
+
+    A run that failed or was skipped keeps its status; for the others it follows
+    from the rows that failed.
+    """
+    given = F.col("status").isin("FAILED", "SKIPPED", "SUCCESS_WITH_WARNINGS")
+    loaded = batch_status(F.col("rows_failed"))
+    return log.select(
+        "job_name",
+        "start_time",
+        seconds_between(F.col("start_time"), F.col("end_time")).alias("seconds"),
+        "rows_processed",
+        "rows_failed",
+        F.when(given, F.col("status")).otherwise(loaded).alias("outcome"),
+    )

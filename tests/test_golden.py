@@ -121,6 +121,14 @@ def test_fact_takes_lowest_key_of_a_repeated_name(star):
     assert fact.count() == 5 and fact.agg(F.max("genre_id")).first()[0] == 3
 
 
+def test_fact_is_the_same_without_broadcasts(star, monkeypatch):
+    monkeypatch.setattr("filmdw.operators.lookup.BROADCAST_ROWS", 0)
+    dims = {k: star[k] for k in ("genres", "times", "countries", "studios")}
+    again = build_fact(star["staging"], **dims)
+    columns = [c for c in again.columns if c != "created_date"]
+    assert sorted(tuples(again, *columns), key=repr) == sorted(tuples(star["fact"], *columns), key=repr)
+
+
 def test_unknown_country_mode(star):
     with pytest.raises(ValueError):
         build_fact(star["staging"], countries=star["countries"], country_mode="x")

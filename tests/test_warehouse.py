@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filmdw.fixed_values import FACT_TABLE, STAGING_TABLE
 from filmdw.operators import cleaning, delta, staging
 from filmdw.plans.model_tables import build_models
-from filmdw.plans.warehouse import LOG_TABLE, Warehouse
+from filmdw.plans.warehouse import LOG_TABLE, REJECT_TABLE, Warehouse, run_summary
 from filmdw.schemas import CLEANED, RAW_TEXT, STAGING, WAREHOUSE
 from filmdw.session import drop_stages, scratch_root, write_stage
 from filmdw.sources import files, writers
@@ -30,7 +30,7 @@ def warehouse(spark, raw, tmp_path_factory):
     parts = staging.split_dataset(cleaning.clean_movies(raw), ["id"])
     for part in (1, 2, 3, 4):
         rows = parts.where(F.col("chunk_id") == part).drop("chunk_id")
-        house.stage_batch(staging.staging_rows(rows, staging.part_source(part)))
+        assert house.load_part(rows, part, "2001-01-01") == "SUCCESS"
     house.rebuild("2001-01-01")
     return house
 
@@ -164,13 +164,30 @@ def test_models(warehouse):
     assert warehouse.read("model_dim_genre").where("genre_name = 'Unknown'").count() == 0
 
 
+def test_a_part_is_skipped_the_second_time(warehouse, raw):
+    before = warehouse.read(STAGING_TABLE).count()
+    assert warehouse.load_part(cleaning.clean_movies(raw), 3) == "SKIPPED"
+    assert warehouse.read(STAGING_TABLE).count() == before
+    summary = {r["outcome"] for r in run_summary(warehouse.read(LOG_TABLE)).collect()}
+    assert {"SUCCESS", "SKIPPED"} <= summary
+
+
+def test_rejects_are_kept_aside(warehouse, raw, tmp_path):
+    house = Warehouse(warehouse.spark, str(tmp_path), "film_rejects")
+    house.create_schema()
+    rows = cleaning.with_derived(cleaning.typed(raw))
+    assert house.load_part(rows, 1) == "PARTIAL_SUCCESS"
+    rejected = house.read(REJECT_TABLE)
+    assert rejected.count() > 0 and rejected.where("reject_reason = ''").count() == 0
+    assert house.read(STAGING_TABLE).count() + rejected.count() == raw.count()
+
+
 def test_delta_and_purge(spark, warehouse):
     before = warehouse.read(STAGING_TABLE).count()
     documents = spark.createDataFrame([('{"id": 999999999, "title": "new"}',)], "json string")
-    batch = delta.parse_details(delta.parse_detail_text(documents)[0])
+    details, _ = delta.parse_detail_text(documents)
     for added in (1, 0):
-        fresh = delta.delta_load(warehouse.read(STAGING_TABLE), batch)
-        assert warehouse.stage_rows(fresh) == added
+        assert warehouse.load_delta(details) == added
     assert warehouse.read(STAGING_TABLE).count() == before + 1
     assert warehouse.purge() == before
 
