@@ -115,9 +115,13 @@ def clean_movies(raw: DataFrame) -> DataFrame:
 def step_counts(raw: DataFrame) -> DataFrame:
     """(step, rows, percent): rows each filter removed and rows kept, in one pass."""
     found = typed(raw).groupBy(removed_by().alias("step")).agg(F.count("*").alias("rows"))
+
+    def total(rows: Column) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0))
+
     one = found.agg(
-        *[F.coalesce(F.sum(F.when(F.col("step") == s, F.col("rows"))), F.lit(0)).alias(s) for s in STEPS],
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("_all"),
+        *[total(F.when(F.col("step") == s, F.col("rows"))).alias(s) for s in STEPS],
+        total(F.col("rows")).alias("_all"),
     )
     listed = one.select(
         "_all",
@@ -148,7 +152,9 @@ def cleaning_summary(raw: DataFrame) -> DataFrame:
         "*",
         percent(F.col("zero_budget"), dated_rows).alias("zero_budget_pct"),
         percent(F.col("zero_revenue"), dated_rows).alias("zero_revenue_pct"),
-        percent(F.col("raw_rows") - F.col("cleaned_rows"), F.col("raw_rows")).alias("reduction_pct"),
+        percent(F.col("raw_rows") - F.col("cleaned_rows"), F.col("raw_rows")).alias(
+            "reduction_pct"
+        ),
     )
 
 

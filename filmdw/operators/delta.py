@@ -14,7 +14,8 @@ from filmdw.schemas import DETAIL, STAGING
 
 def listed_ids(pages: DataFrame) -> DataFrame:
     """One row per title on the listing pages."""
-    return pages.select(F.explode("results").alias("item")).select(F.col("item.id").alias("movie_id"))
+    items = pages.select(F.explode("results").alias("item"))
+    return items.select(F.col("item.id").alias("movie_id"))
 
 
 def parse_details(

@@ -8,6 +8,7 @@ from filmdw.functions.dates import decade
 from filmdw.functions.numbers import billions, millions, percent
 from filmdw.functions.text import tokens
 from filmdw.operators.ranking import exact_quantiles
+from filmdw.sources.constants import constant_rows
 
 
 def columns_present(df: DataFrame, wanted: list[str]) -> DataFrame:
@@ -77,7 +78,9 @@ def distinct_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
 
     if approximate:
         counts = df.agg(*[F.approx_count_distinct(value(c)).alias(c) for c in columns])
-        pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values")) for c in columns]
+        pairs = [
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values")) for c in columns
+        ]
         return counts.select(F.inline(F.array(*pairs)))
     pairs = [
         F.struct(F.lit(c).alias("column"), value(c).cast("string").alias("value"))
@@ -85,7 +88,7 @@ def distinct_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     ]
     values = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
     found = values.groupBy("column").agg(F.count("*").alias("n"))
-    every = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    every = constant_rows(df.sparkSession, ["column"], [(c,) for c in columns])
     return every.join(found, "column", "left").select(
         "column", F.coalesce("n", F.lit(0)).alias("distinct_values")
     )
@@ -123,7 +126,9 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     spread = (
         exact_quantiles(df.select(*columns), columns, list(probs.values()))
         .groupBy("column")
-        .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in probs.items()])
+        .agg(
+            *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in probs.items()]
+        )
     )
     return moments.join(spread, "column", "left").select(
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
@@ -155,7 +160,8 @@ def year_counts(df: DataFrame, column: str = "release_date") -> DataFrame:
 
 def decade_histogram(df: DataFrame, column: str = "release_date") -> DataFrame:
     """(decade, films) for 1900..2029, empty decades left out."""
-    decades = df.where(F.year(column).between(1900, 2029)).select(decade(F.col(column)).alias("decade"))
+    dated = df.where(F.year(column).between(1900, 2029))
+    decades = dated.select(decade(F.col(column)).alias("decade"))
     return decades.groupBy("decade").agg(F.count("*").alias("films"))
 
 

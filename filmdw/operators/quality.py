@@ -47,7 +47,10 @@ def _count_rules(rows: DataFrame, table: str, rules: dict[str, Column]) -> DataF
     """(table, validation_type, total_records, invalid_records), one scan."""
     counted = rows.agg(
         F.count("*").alias("total_records"),
-        *[F.count_if(F.coalesce(p, F.lit(False))).alias(f"r{i}") for i, p in enumerate(rules.values())],
+        *[
+            F.count_if(F.coalesce(broken, F.lit(False))).alias(f"r{i}")
+            for i, broken in enumerate(rules.values())
+        ],
     )
     named = [
         F.struct(F.lit(rule).alias("validation_type"), F.col(f"r{i}").alias("invalid_records"))
@@ -194,14 +197,17 @@ def failing_not_null(df: DataFrame, column: str) -> DataFrame:
 
 def failing_unique(df: DataFrame, column: str) -> DataFrame:
     """Values, NULL aside, that occur more than once."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_records"))
+    given = df.where(F.col(column).isNotNull())
+    counts = given.groupBy(column).agg(F.count("*").alias("n_records"))
     return counts.where(F.col("n_records") > 1).withColumnRenamed(column, "unique_field")
 
 
 def not_null_results(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """(table, column, test, failures, passed) of several not-null tests, one scan."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    listed = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("failures")) for c in columns])
+    listed = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).alias("failures")) for c in columns]
+    )
     return counts.select(F.explode(listed).alias("t")).select(
         F.lit(table).alias("table"),
         "t.column",
@@ -293,7 +299,8 @@ def formula_match(df: DataFrame) -> DataFrame:
     budget, revenue = F.col("budget"), F.col("revenue")
     paid = both_positive(budget, revenue)
     profit_ok = F.abs(revenue - budget - F.col("profit")) < 1
-    rated = F.col("profit").isNotNull() & F.col("roi").isNotNull() & revenue.isNotNull() & (budget > 0)
+    given = F.col("profit").isNotNull() & F.col("roi").isNotNull() & revenue.isNotNull()
+    rated = given & (budget > 0)
     roi_ok = F.abs(F.try_divide(F.col("profit"), budget) - F.col("roi")) < 0.01
     counts = df.agg(
         F.count_if(F.coalesce(paid, F.lit(False))).alias("profit_rows"),

@@ -123,6 +123,23 @@ def score(rows: DataFrame, rule: LinearRule, label: str = "revenue") -> DataFram
     )
 
 
+def predictions(scored: DataFrame, key: str = "id") -> DataFrame:
+    """The scored titles with the columns that are saved."""
+    return scored.select(
+        key,
+        "title",
+        "budget",
+        "revenue",
+        "genres",
+        "production_companies",
+        "release_year",
+        "predicted_revenue",
+        "prediction_error",
+        "error_percentage",
+        "performance",
+    )
+
+
 def split_metrics(scored: DataFrame, label: str = "revenue", by: str = "split") -> DataFrame:
     """R2, mean absolute error and root mean squared error of each split, one pass."""
     error = F.col(label) - F.col("predicted_revenue")

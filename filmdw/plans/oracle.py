@@ -98,7 +98,9 @@ PARTS = {
         FROM (SELECT 0 AS grp, 'Unknown' AS studio_name, 'Unknown' AS studio_size
               UNION ALL
               SELECT DISTINCT 1, trim(t),
-                     CASE WHEN regexp_matches(trim(t), 'Warner Bros|Universal|Paramount|Disney|20th Century|Sony|Columbia|Fox|Metro-Goldwyn-Mayer|Lionsgate') THEN 'Large'
+                     CASE WHEN regexp_matches(trim(t),
+                              'Warner Bros|Universal|Paramount|Disney|20th Century|Sony|' ||
+                              'Columbia|Fox|Metro-Goldwyn-Mayer|Lionsgate') THEN 'Large'
                           WHEN length(trim(t)) > 30 THEN 'Medium' ELSE 'Small' END
               FROM (SELECT unnest(string_split(production_companies, '-')) AS t FROM staging)
               WHERE trim(t) <> '' AND trim(t) <> 'Unknown')""",
@@ -208,8 +210,8 @@ PARTS = {
                     ELSE trim(split_part(production_companies, '-', 1)) END AS primary_studio
         FROM staging""",
     "features": """
-        SELECT id, title, revenue, budget, runtime, popularity, vote_average, vote_count,
-               release_year, release_month,
+        SELECT id, title, genres, production_companies, revenue, budget, runtime, popularity,
+               vote_average, vote_count, release_year, release_month,
                dense_rank() OVER (ORDER BY primary_genre) - 1 AS genre_encoded,
                COUNT(*) OVER (PARTITION BY primary_studio) AS studio_freq
         FROM (SELECT *, trim(split_part(genres, '-', 1)) AS primary_genre,
@@ -805,7 +807,8 @@ FINAL: dict[str, tuple[list[str], str]] = {
     ),
     "prediction_errors": (
         ["scored"],
-        """SELECT id, ROUND(predicted_revenue, 2) AS predicted_revenue,
+        """SELECT id, title, budget, revenue, genres, production_companies, release_year,
+           ROUND(predicted_revenue, 2) AS predicted_revenue,
            ROUND(prediction_error, 2) AS prediction_error,
            ROUND(abs(prediction_error / revenue * 100), 4) AS error_percentage,
            CASE WHEN prediction_error > 0 THEN 'Over-performing' ELSE 'Under-performing' END

@@ -532,7 +532,8 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def dq_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(quality.overall_quality(_report(star(spark, sf_dir, *CHECKED))), invalid_percentage=6)
+    rows = quality.overall_quality(_report(star(spark, sf_dir, *CHECKED)))
+    return rounded(rows, invalid_percentage=6)
 
 
 @register
@@ -714,11 +715,8 @@ def regression_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def prediction_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = regression.score(_features(spark, sf_dir), GIVEN_RULE)
-    shown = ["id", "predicted_revenue", "prediction_error", "error_percentage", "performance"]
-    return rounded(
-        rows.select(*shown), predicted_revenue=2, prediction_error=2, error_percentage=4
-    )
+    rows = regression.predictions(regression.score(_features(spark, sf_dir), GIVEN_RULE))
+    return rounded(rows, predicted_revenue=2, prediction_error=2, error_percentage=4)
 
 
 @register

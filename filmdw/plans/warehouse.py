@@ -139,10 +139,12 @@ class Warehouse:
 
         return self.run("API_Refresh", work)
 
-    def _keyed_after(self, rows: DataFrame) -> DataFrame:
-        last = self.read(STAGING_TABLE).agg(F.coalesce(F.max("staging_id"), F.lit(0)))
-        keyed = with_row_key(rows, "staging_id")
-        return keyed.withColumn("staging_id", F.col("staging_id") + last.scalar())
+    def _keyed_after(
+        self, rows: DataFrame, table: str = STAGING_TABLE, key: str = "staging_id"
+    ) -> DataFrame:
+        """Add a key that continues after the last one of the table."""
+        last = self.read(table).agg(F.coalesce(F.max(key), F.lit(0))).scalar()
+        return with_row_key(rows, key).withColumn(key, F.col(key) + last)
 
     def purge(self) -> int:
         """Keep part loads only; returns the rows that are left."""
@@ -160,8 +162,9 @@ class Warehouse:
         status: str,
         error: str | None = None,
     ) -> None:
-        row = (job, start, end, processed, failed, status, error, end)
-        self.append(LOG_TABLE, self.spark.createDataFrame([row], RUN_LOG))
+        row = (0, job, start, end, processed, failed, status, error, end)
+        rows = self.spark.createDataFrame([row], RUN_LOG).drop("log_id")
+        self.append(LOG_TABLE, self._keyed_after(rows, LOG_TABLE, "log_id"))
 
     def run(self, job: str, work: Callable[[], int]) -> int:
         """Run one stage and log it; a failure is logged as FAILED and raised."""
@@ -195,9 +198,9 @@ class Warehouse:
         fact = self.read(FACT_TABLE)
         by_genre = aggregate_by_genre(fact, self.read("Dim_Genre"), as_of)
         by_year = aggregate_by_year(fact, self.read("Dim_Time"), as_of)
-        return self.replace("Agg_Genre_Performance", by_genre) + self.replace(
-            "Agg_Yearly_Trends", by_year
-        )
+        return self.replace(
+            "Agg_Genre_Performance", with_row_key(by_genre, "agg_id")
+        ) + self.replace("Agg_Yearly_Trends", with_row_key(by_year, "agg_id"))
 
     def validate(self, as_of: str | None = None) -> DataFrame:
         """Write the quality report, log the grade, and return the overall row."""

@@ -74,10 +74,10 @@ _MEASURES = (
     "total_films bigint, total_revenue double, total_budget double, avg_revenue double, "
     "avg_budget double, avg_roi double, avg_rating double, last_updated timestamp"
 )
-AGG_GENRE = _struct(f"genre_id bigint, genre_name string, {_MEASURES}")
-AGG_YEARLY = _struct(f"year int, {_MEASURES}")
+AGG_GENRE = _struct(f"agg_id bigint, genre_id bigint, genre_name string, {_MEASURES}")
+AGG_YEARLY = _struct(f"agg_id bigint, year int, {_MEASURES}")
 RUN_LOG = _struct(
-    "job_name string, start_time timestamp, end_time timestamp, rows_processed bigint, "
+    "log_id bigint, job_name string, start_time timestamp, end_time timestamp, rows_processed bigint, "
     "rows_failed bigint, status string, error_message string, created_date timestamp"
 )
 

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -65,7 +66,8 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
 def run_together(*works: Callable) -> list:
     """Submit independent small jobs at once, so that none leaves the cluster idle."""
     with ThreadPoolExecutor(len(works)) as pool:
-        return list(pool.map(lambda work: work(), works))
+        started = [pool.submit(inheritable_thread_target(work)) for work in works]
+        return [future.result() for future in started]
 
 
 def drop_stages(spark: SparkSession) -> None:

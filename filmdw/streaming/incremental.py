@@ -37,7 +37,7 @@ def _log_batch(
     spark: SparkSession, log_path: str, job: str, start: datetime, rows: int, batch_id: int
 ) -> None:
     end = datetime.now(timezone.utc)
-    row = (job, start, end, rows, 0, "SUCCESS", None, end)
+    row = (batch_id + 1, job, start, end, rows, 0, "SUCCESS", None, end)
     log = spark.createDataFrame([row], RUN_LOG)
     log.coalesce(1).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 
