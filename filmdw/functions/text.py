@@ -35,9 +35,14 @@ def is_known(name: Column) -> Column:
     return (name != "") & (name != UNKNOWN)
 
 
+def known_head(value: Column) -> Column:
+    """List of the first element that is neither blank nor ``Unknown``; empty without one."""
+    return F.slice(F.filter(tokens(value, trim=True), is_known), 1, 1)
+
+
 def first_known(value: Column) -> Column:
     """First element that is neither blank nor ``Unknown``, else NULL."""
-    return F.try_element_at(F.filter(tokens(value, trim=True), is_known), F.lit(1))
+    return F.try_element_at(known_head(value), F.lit(1))
 
 
 def studio_size(name: Column) -> Column:

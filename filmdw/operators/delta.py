@@ -65,11 +65,12 @@ def parse_detail_text(documents: DataFrame, column: str = "json") -> tuple[DataF
     is an explicit null, or when a list item has no name. An absent field is
     no reason: it takes its default.
     """
-    doc = F.from_json(column, DETAIL)
-    keys = F.json_object_keys(column)
+    parsed = F.struct(
+        F.from_json(column, DETAIL).alias("doc"), F.json_object_keys(column).alias("_keys")
+    )
 
     def explicit_null(name: str) -> Column:
-        return F.array_contains(keys, name) & F.col(f"doc.{name}").isNull()
+        return F.array_contains("_keys", name) & F.col(f"doc.{name}").isNull()
 
     def nameless(name: str, field: str) -> Column:
         return F.exists(F.col(f"doc.{name}"), lambda item: item[field].isNull())
@@ -79,12 +80,16 @@ def parse_detail_text(documents: DataFrame, column: str = "json") -> tuple[DataF
         "production_companies": "name",
         "production_countries": "iso_3166_1",
     }
-    bad = keys.isNull()
+    bad = F.col("_keys").isNull()
     for name in ("budget", "revenue", *lists):
         bad = bad | explicit_null(name)
     for name, field in lists.items():
         bad = bad | F.coalesce(nameless(name, field), F.lit(False))
-    marked = documents.withColumn("doc", doc).withColumn("_bad", F.coalesce(bad, F.lit(True)))
+    # a generator of one row keeps the checks above the parse, so that a document
+    # is parsed once and not once per check
+    marked = documents.select("*", F.inline(F.array(parsed))).withColumn(
+        "_bad", F.coalesce(bad, F.lit(True))
+    )
     good = marked.where(~F.col("_bad")).select("doc.*")
     return good, marked.where(F.col("_bad")).select(*documents.columns)
 

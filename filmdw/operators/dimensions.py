@@ -21,7 +21,8 @@ def _shaped(df: DataFrame, schema, as_of: str | None) -> DataFrame:
 def _list_names(staging: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct trimmed, non-blank elements of a list column."""
     return (
-        staging.select(F.explode(tokens(F.col(column), trim=True)).alias(name))
+        staging.select(F.explode(tokens(F.col(column))).alias(name))
+        .select(F.trim(name).alias(name))
         .where(F.col(name) != "")
         .distinct()
     )

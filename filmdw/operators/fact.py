@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from filmdw.fixed_values import UNKNOWN, UNKNOWN_COUNTRY_CODE
 from filmdw.functions.dates import loaded_at
 from filmdw.functions.numbers import billions, both_positive
-from filmdw.functions.text import first_known, shown_title, tokens
+from filmdw.functions.text import known_head, shown_title, tokens
 from filmdw.operators.lookup import calendar_lookup, first_match, lookup
 from filmdw.schemas import FACT
 from filmdw.sources.constants import language_countries
@@ -54,14 +54,15 @@ def with_country(rows: DataFrame, countries: DataFrame, mode: str = "code") -> D
 
 
 def retained(staging: DataFrame) -> DataFrame:
-    """Rows the fact keeps: dated, with money, and with a known studio."""
-    return (
-        staging.where(
-            F.col("release_date").isNotNull() & both_positive(F.col("budget"), F.col("revenue"))
-        )
-        .withColumn("studio_name", first_known(F.col("production_companies")))
-        .where(F.col("studio_name").isNotNull())
+    """Rows the fact keeps: dated, with money, and with a known studio.
+
+    Exploding a list of at most one studio finds it and drops titles without
+    one in a single evaluation.
+    """
+    dated = staging.where(
+        F.col("release_date").isNotNull() & both_positive(F.col("budget"), F.col("revenue"))
     )
+    return dated.withColumn("studio_name", F.explode(known_head(F.col("production_companies"))))
 
 
 def build_fact(
@@ -93,7 +94,8 @@ def build_fact(
         rows = with_country(rows, countries, country_mode)
     if studios is not None:
         rows = lookup(rows, named_keys(studios, "studio_name", "studio_id"), "studio_name")
-    rows = rows.withColumn("genre_name", F.explode(tokens(F.col("genres"), trim=True)))
+    rows = rows.withColumn("genre_name", F.explode(tokens(F.col("genres"))))
+    rows = rows.withColumn("genre_name", F.trim("genre_name"))
     if genres is not None:
         rows = lookup(rows, named_keys(genres, "genre_name", "genre_id"), "genre_name")
     rows = rows.withColumn("created_date", loaded_at(as_of))

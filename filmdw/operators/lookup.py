@@ -6,13 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from filmdw.session import write_stage
 
-# A key table is broadcast up to this many rows; names have at most 500
-# characters, so the broadcast stays within a few hundred megabytes.
+# A key table is broadcast up to this many rows and characters of text, which
+# bounds the broadcast to some tens of megabytes.
 BROADCAST_ROWS = 500_000
+BROADCAST_CHARACTERS = 50_000_000
 # A key with more than 1/HOT_SHARE of the rows is hot; fewer than HOT_SHARE can exist.
 HOT_SHARE = 1000
 
 
+def fits_broadcast(keys: DataFrame, broadcast_rows: int | None = None) -> bool:
+    """Whether a table is small enough to broadcast, by its rows and its text."""
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    text = [F.length(name) for name, kind in keys.dtypes if kind == "string"]
+    characters = [F.coalesce(F.sum(part), F.lit(0)) for part in text]
+    size = keys.agg(F.count("*"), *characters).first()
+    return size[0] <= limit and sum(size[1:]) <= BROADCAST_CHARACTERS
+
+
 def lookup(
     left: DataFrame,
     keys: DataFrame,
@@ -27,7 +37,7 @@ def lookup(
     in two ways: the rows of hot keys, and those without a key, meet a broadcast
     of the hot entries; the others, none of them hot, are shuffled.
     """
-    if keys.count() <= (BROADCAST_ROWS if broadcast_rows is None else broadcast_rows):
+    if fits_broadcast(keys, broadcast_rows):
         return left.join(F.broadcast(keys), key, "left")
 
     rows = write_stage(left, "lookup")

@@ -8,7 +8,7 @@ from filmdw.fixed_values import FACT_TABLE, QUALITY_RULES, STAGING_TABLE
 from filmdw.functions.dates import loaded_at
 from filmdw.functions.numbers import both_positive, percent
 from filmdw.functions.status import job_status, overall_grade, rule_status
-from filmdw.operators.lookup import BROADCAST_ROWS, keep_known
+from filmdw.operators.lookup import fits_broadcast, keep_known
 from filmdw.session import write_stage
 
 
@@ -72,7 +72,7 @@ def orphan_count(fact: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def fact_rule_counts(
-    fact: DataFrame, dims: dict[str, DataFrame], broadcast_rows: int = BROADCAST_ROWS
+    fact: DataFrame, dims: dict[str, DataFrame], broadcast_rows: int | None = None
 ) -> DataFrame:
     """Counts of the fact rules, ``dims`` being {key column: dimension}.
 
@@ -83,7 +83,7 @@ def fact_rule_counts(
     flagged, large = fact, {}
     for key, dim in dims.items():
         name = f"Orphaned {key}"
-        if dim.count() > broadcast_rows:
+        if not fits_broadcast(dim.select(key), broadcast_rows):
             large[name] = key
             continue
         known = dim.select(key).distinct().withColumn(f"_has_{key}", F.lit(True))

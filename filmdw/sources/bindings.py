@@ -28,7 +28,11 @@ def _joined(names: str) -> Column:
 
 
 def film_rows(spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = LISTS) -> DataFrame:
-    """One row per order with lines. Only the tables behind ``lists`` are joined."""
+    """One row per order with lines. Only the tables behind ``lists`` are joined.
+
+    Sums and name sets are merged before the shuffle, so an order with very many
+    lines costs one row per task; its set holds each name once.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax"
     )

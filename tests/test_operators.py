@@ -6,12 +6,13 @@ import statistics
 
 import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from filmdw.fixed_values import FEATURES
 from filmdw.functions import dates, numbers, status, text
 from filmdw.operators import cleaning, delta, forecast, profiling, quality, regression, staging
-from filmdw.operators.lookup import keep_known, keep_unknown, lookup
+from filmdw.operators.lookup import fits_broadcast, keep_known, keep_unknown, lookup
 from filmdw.operators.ranking import exact_quantiles, number_rows
 from filmdw.schemas import DETAIL
 from filmdw.sources.constants import constant_rows
@@ -191,6 +192,14 @@ def test_lookup_with_hot_and_missing_keys(spark, broadcast_rows):
     assert all(found[i] == (i if i % 2 == 0 else None) for i in range(2000, 3000))
 
 
+def test_broadcast_is_refused_by_rows_and_by_text(spark, monkeypatch):
+    keys = spark.createDataFrame([("abc", 1), ("defg", 2)], "name string, k int")
+    assert fits_broadcast(keys)
+    assert not fits_broadcast(keys, broadcast_rows=1)
+    monkeypatch.setattr("filmdw.operators.lookup.BROADCAST_CHARACTERS", 6)
+    assert not fits_broadcast(keys)
+
+
 @pytest.mark.parametrize("broadcast_rows", [0, 1000])
 def test_keep_unknown_keeps_rows_without_key(spark, broadcast_rows):
     left = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
@@ -520,3 +529,31 @@ def test_forecast_of_two_years_has_no_bounds(spark):
 def test_detail_schema_matches_documents(spark):
     df = spark.createDataFrame([(DOCUMENTS["plain"],)], "json string")
     assert delta.parse_detail_text(df)[0].schema.names == DETAIL.names
+
+
+# Properties
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lists=st.lists(st.text(alphabet="ab -U", max_size=8), min_size=1, max_size=20))
+def test_list_expressions_equal_plain_python(spark, lists):
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, v string")
+    v = F.col("v")
+    rows = df.select(
+        "i", text.tokens(v).alias("t"), text.first_token(v).alias("f"), text.first_known(v).alias("k")
+    ).collect()
+    for row in rows:
+        parts = lists[row["i"]].split("-")
+        assert row["t"] == parts and row["f"] == parts[0]
+        known = [p.strip(" ") for p in parts if p.strip(" ") not in ("", "Unknown")]
+        assert row["k"] == (known[0] if known else None)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-5, 5), min_size=1, max_size=40))
+def test_numbering_and_median_equal_plain_python(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(3)
+    numbered = number_rows(df, ["v"], "n", "property").collect()
+    assert [r["v"] for r in sorted(numbered, key=lambda r: r["n"])] == sorted(values)
+    found = exact_quantiles(df, ["v"], [0.5]).first()["value"]
+    assert found == statistics.median(values)
