@@ -59,6 +59,7 @@ def regression_features(cleaned: DataFrame, key: str = "id") -> DataFrame:
     used += [c for c in FEATURES if c in cleaned.columns]
     rows = write_stage(with_primary(cleaned.select(*used)), "features")
     codes, studios, median = run_together(
+        rows.sparkSession,
         lambda: label_codes(rows, "primary_genre", "genre_encoded"),
         lambda: write_stage(frequencies(rows, "primary_studio", "studio_freq"), "studios"),
         lambda: exact_median(rows, "runtime"),

@@ -96,7 +96,7 @@ def star(spark: SparkSession, sf_dir: str, *wanted: str) -> Star:
     """Staging and the dimensions a query needs."""
     staging = write_stage(staging_from_orders(spark, sf_dir), "staging")
     builds = [lambda b=BUILDERS[name]: b(staging, AS_OF) for name in wanted]
-    return Star(staging, **dict(zip(wanted, run_together(*builds))))
+    return Star(staging, **dict(zip(wanted, run_together(spark, *builds))))
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:

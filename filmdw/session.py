@@ -63,10 +63,11 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run_together(*works: Callable) -> list:
+def run_together(spark: SparkSession, *works: Callable) -> list:
     """Submit independent small jobs at once, so that none leaves the cluster idle."""
+    inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(works)) as pool:
-        started = [pool.submit(inheritable_thread_target(work)) for work in works]
+        started = [pool.submit(inherit(work)) for work in works]
         return [future.result() for future in started]
 
 
