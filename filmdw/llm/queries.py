@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filmdw.llm import chat, mixing
+from filmdw.llm import chat, fingerprint, mixing, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,15 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(turns))
 
 
+def op7_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_likeness(documents(spark, sf_dir))
+
+
+def op8_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.judge(documents(spark, sf_dir), labels)
+
+
 def op9_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return mixed.select(
@@ -37,6 +46,8 @@ def op9_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_chat_windows": op3_chat_windows,
+    "op7_bottom_k": op7_bottom_k,
+    "op8_ngram_quality": op8_ngram_quality,
     "op9_flow_mix": op9_flow_mix,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: A word is a run of anything but blank, tab, line feed, vertical tab, form feed, return.
 GAP = r"[\x20\x09-\x0D]+"
@@ -38,15 +38,15 @@ def head(array: Column, left_out: int) -> Column:
     return F.slice(array, F.lit(1), F.greatest(F.size(array) - left_out, F.lit(0)))
 
 
-def pair_hashes(left: Column, right: Column, step: int) -> Column:
-    """Hash of left[i] with right[i + step], for every i that has both."""
-    return F.zip_with(head(left, step), tail(right, step), lambda a, b: F.xxhash64(a, b))
+def with_five_word_hashes(df: DataFrame, words: str, out: str) -> DataFrame:
+    """Add ``out``: a 64-bit hash for each run of five consecutive words, in order.
 
-
-def five_word_hashes(words: Column) -> Column:
-    """A 64-bit hash for each run of five consecutive words, in order."""
-    one = F.transform(words, lambda word: F.xxhash64(word))
-    two = pair_hashes(one, one, 1)
-    four = pair_hashes(two, two, 2)
-    # two arrays of different length: four[i] covers words i..i+3, one[i + 4] is the fifth
-    return F.zip_with(head(four, 1), tail(one, 4), lambda a, b: F.xxhash64(a, b))
+    Every step is a column of its own, so that no step is evaluated twice.
+    """
+    kept = df.columns
+    one, two, four = f"{out}_1", f"{out}_2", f"{out}_4"
+    df = df.withColumn(one, F.transform(words, lambda word: F.xxhash64(word)))
+    df = df.withColumn(two, F.zip_with(head(F.col(one), 1), tail(F.col(one), 1), lambda a, b: F.xxhash64(a, b)))
+    df = df.withColumn(four, F.zip_with(head(F.col(two), 2), tail(F.col(two), 2), lambda a, b: F.xxhash64(a, b)))
+    five = F.zip_with(head(F.col(four), 1), tail(F.col(one), 4), lambda a, b: F.xxhash64(a, b))
+    return df.withColumn(out, five).select(*kept, out)
