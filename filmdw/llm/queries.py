@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filmdw.llm import chat, fingerprint, mixing, quality
+from filmdw.llm import chat, fingerprint, mixing, orc_tokens, packing, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,14 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(turns))
 
 
+def op4_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
+def op5_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orc_tokens.round_trip(documents(spark, sf_dir))
+
+
 def op7_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_likeness(documents(spark, sf_dir))
 
@@ -46,6 +54,8 @@ def op9_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_chat_windows": op3_chat_windows,
+    "op4_vector_best_fit": op4_vector_best_fit,
+    "op5_orc_ids": op5_orc_ids,
     "op7_bottom_k": op7_bottom_k,
     "op8_ngram_quality": op8_ngram_quality,
     "op9_flow_mix": op9_flow_mix,
