@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filmdw.llm import chat, fingerprint, mixing, orc_tokens, packing, quality
+from filmdw.llm import chat, fingerprint, langid, mixing, orc_tokens, packing, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     said = "</s>[INST] ok [/INST]"
@@ -53,6 +57,7 @@ def op9_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_subword_langid": op1_subword_langid,
     "op3_chat_windows": op3_chat_windows,
     "op4_vector_best_fit": op4_vector_best_fit,
     "op5_orc_ids": op5_orc_ids,
