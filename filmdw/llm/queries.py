@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filmdw.llm import chat, fingerprint, langid, mixing, orc_tokens, packing, quality
+from filmdw.llm import chat, fingerprint, langid, mixing, neardup, orc_tokens, packing, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op5_orc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.round_trip(documents(spark, sf_dir))
 
 
+def op6_tensored_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = neardup.near_duplicates(documents(spark, sf_dir), shingle=4)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_likeness(documents(spark, sf_dir))
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op3_chat_windows": op3_chat_windows,
     "op4_vector_best_fit": op4_vector_best_fit,
     "op5_orc_ids": op5_orc_ids,
+    "op6_tensored_minhash": op6_tensored_minhash,
     "op7_bottom_k": op7_bottom_k,
     "op8_ngram_quality": op8_ngram_quality,
     "op9_flow_mix": op9_flow_mix,
