@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filmdw.llm import chat, fingerprint, langid, mixing, neardup, orc_tokens, packing, quality
+from filmdw.llm import chat, fingerprint, langid, mixing, neardup, orc_tokens, packing, phrases, quality
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents(spark, sf_dir))
 
 
+def op2_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     said = "</s>[INST] ok [/INST]"
@@ -63,6 +67,7 @@ def op9_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_subword_langid": op1_subword_langid,
+    "op2_phrase_automata": op2_phrase_automata,
     "op3_chat_windows": op3_chat_windows,
     "op4_vector_best_fit": op4_vector_best_fit,
     "op5_orc_ids": op5_orc_ids,
