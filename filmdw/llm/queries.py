@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filmdw.llm import chat, fingerprint, langid, mixing, neardup, orc_tokens, packing, phrases, quality
+from filmdw.llm import chat, fingerprint, langid, mixing, neardup, orc_tokens, packing, phrases, quality, repeats
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op9_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_interval_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 QUERIES = {
     "op1_subword_langid": op1_subword_langid,
     "op2_phrase_automata": op2_phrase_automata,
@@ -75,6 +79,7 @@ QUERIES = {
     "op7_bottom_k": op7_bottom_k,
     "op8_ngram_quality": op8_ngram_quality,
     "op9_flow_mix": op9_flow_mix,
+    "op10_interval_tree": op10_interval_tree,
 }
 
 _OP3 = """
