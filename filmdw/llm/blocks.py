@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from filmdw.llm.words import text_or_empty
@@ -23,9 +24,13 @@ BLOCKS_PER_SHARD = 4
 LEAST_BLOCKS = 24
 
 
-def in_blocks(docs: DataFrame, block_characters: int = BLOCK_CHARACTERS) -> tuple[DataFrame, int]:
-    """(doc_id, text, block) and the number of blocks, which follows the size of the table."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def in_blocks(
+    docs: DataFrame, carry: tuple[str, ...] = (), block_characters: int = BLOCK_CHARACTERS
+) -> tuple[DataFrame, int]:
+    """(doc_id, text, block, and the columns of ``carry`` in one) and the number of blocks, which follows
+    the size of the table."""
+    carried = F.struct(*carry) if carry else F.lit(None).cast("int")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", carried.alias("carried"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(LEAST_BLOCKS, -(-total // block_characters))
     block = F.pmod(F.xxhash64("doc_id", text_or_empty(F.col("text"))), F.lit(blocks)).cast("long")
@@ -33,10 +38,14 @@ def in_blocks(docs: DataFrame, block_characters: int = BLOCK_CHARACTERS) -> tupl
 
 
 def texts_of(table: pa.Table) -> tuple[list, list[bytes]]:
-    """Ids and encoded texts of a block, in an order that does not depend on how rows arrived."""
-    pairs = zip(table["doc_id"].to_pylist(), ((t.as_py() or "").encode() for t in table["text"]))
-    pairs = sorted(pairs, key=lambda row: (row[0] is not None, row[0] or 0, row[1]))
-    return [d for d, _ in pairs], [t for _, t in pairs]
+    """Ids and encoded texts of a block, in the order of ``placed``."""
+    return table["doc_id"].to_pylist(), [(t.as_py() or "").encode() for t in table["text"]]
+
+
+def placed(table: pa.Table) -> pa.Table:
+    """The block in an order that does not depend on how rows arrived."""
+    keys = [("doc_id", "ascending"), ("text", "ascending")]
+    return table.take(pc.sort_indices(table, sort_keys=keys))
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -76,7 +85,7 @@ def recurring(dealt: DataFrame, blocks: int, values_of: Callable, often: int = 1
 
     def send(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
-        values, twice = values_of(*texts_of(table))
+        values, twice = values_of(*texts_of(placed(table)))
         rows = [(s, block, packed(v), packed(t)) for s, v, t in by_shard(shards, values, values, twice)]
         return table_of(_VALUES, rows)
 

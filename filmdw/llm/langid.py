@@ -153,7 +153,7 @@ def sample(docs: DataFrame, learned_from: Column, per_language: int = PER_LANGUA
     The order is cut by the count of the language first, so that no task sorts a whole language.
     """
     rows = docs.where(learned_from & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "text"), 1) / F.lit(2.0**63)
+    order = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 1) / F.lit(2.0**63)
     rows = rows.select("lang", "text", order.alias("_order"))
     counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
     if len(counts) > MOST_LANGUAGES:
@@ -251,7 +251,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
         model = shared.value
         scorer = _Scorer(model) if model else None
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(at)
             best, top = np.full(len(texts), -1), np.zeros(len(texts))
             first, group, size = 0, [], 0
             for i, text in enumerate(texts):
@@ -263,11 +263,13 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
             names = [model.languages[b] if b >= 0 else UNDETERMINED for b in best]
             rejected = [b < 0 or t < model.least_score for b, t in zip(best, top)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(top), pa.array(rejected, pa.bool_())],
+                [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(top), pa.array(rejected, pa.bool_())],
                 [*keep, "lang_pred", "score", "rejected"],
             )
 
-    rows = docs.select(*keep, F.col("text").alias("_read"))
+    # a text that is kept is not sent twice
+    at = keep.index("text") if "text" in keep else len(keep)
+    rows = docs.select(*keep) if "text" in keep else docs.select(*keep, F.col("text").alias("_read"))
     return rows.mapInArrow(run, f"{out}, lang_pred string, score double, rejected boolean")
 
 
@@ -277,3 +279,9 @@ def identify(docs: DataFrame) -> DataFrame:
     model = fit(docs, ~held_out)
     rows = predict(docs, model, ["doc_id"])
     return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose language is told with enough confidence."""
+    rows = predict(docs, fit(docs), docs.columns)
+    return rows.where("NOT rejected").select(*docs.columns)

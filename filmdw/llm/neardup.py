@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from filmdw.llm.hashing import mixed, run_hashes, slices, word_hashes
 from filmdw.session import write_stage
@@ -55,7 +55,8 @@ def set_digest(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, shingle: int, halves: int = HALVES, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, and its half keys of both collections in one array."""
+    """doc_id, row (a hash of id and text), n_shingles, digest of the set, and its half keys of both
+    collections in one array."""
     random = np.random.default_rng(6)
     factors = random.integers(0, 1 << 63, 2 * halves * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -79,15 +80,20 @@ def signatures(docs: DataFrame, shingle: int, halves: int = HALVES, rows: int =
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(out["n_shingles"], pa.int64()),
                     pa.array(out["digest"], pa.binary()),
                     pa.array(out["half_keys"], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "digest", "half_keys"],
+                ["doc_id", "row", "n_shingles", "digest", "half_keys"],
             )
 
-    schema = "doc_id long, n_shingles long, digest binary, half_keys array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, schema)
+    schema = "doc_id long, row long, n_shingles long, digest binary, half_keys array<long>"
+    return docs.select("doc_id", "text", row_hash().alias("row")).mapInArrow(sign, schema)
+
+
+def row_hash() -> Column:
+    return F.xxhash64("doc_id", "text")
 
 
 def run_pairs(least: np.ndarray) -> np.ndarray:
@@ -213,7 +219,7 @@ def link_classes(members: DataFrame, texts: DataFrame, shingle: int, percent: in
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, rows: int = ROWS
 ) -> DataFrame:
-    """doc_id, n_shingles, class_id (smallest id with an equal set), component_id and kept, per row."""
+    """doc_id, row, n_shingles, class_id (smallest id with an equal set), component_id and kept, per row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = write_stage(signatures(docs, shingle, halves, rows), "signatures")
     classes = (
@@ -238,6 +244,7 @@ def near_duplicates(
         signed.join(named, "digest", "left")
         .select(
             "doc_id",
+            "row",
             "n_shingles",
             F.coalesce("class_id", "doc_id").alias("class_id"),
             F.coalesce("component_id", "doc_id").alias("component_id"),
@@ -266,3 +273,19 @@ def _texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     )
     checked = with_id.select("doc_id", "node", "text", "digest").mapInArrow(same, "doc_id long, node long, text string")
     return checked.groupBy("node").agg(F.min("text").alias("text"))
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, with their columns, that their group keeps; equal rows once."""
+    columns = docs.columns
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    judged = write_stage(near_duplicates(docs, **options).select("row", "kept"), "judged")
+    gone = judged.where("NOT kept").select(F.col("row").alias("_row")).distinct()
+    several = judged.where("kept").groupBy(F.col("row").alias("_row")).agg(F.count("*").alias("n"))
+    several = several.where("n > 1").select("_row", F.lit(True).alias("_several"))
+    # only the keys of what goes, and of rows that occur more than once, meet the texts
+    known = gone.select("_row", F.lit(False).alias("_several")).unionByName(several)
+    marked = docs.withColumn("_row", row_hash()).join(known, "_row", "left")
+    once = marked.where("_several IS NULL").select(*columns)
+    repeated = marked.where("_several").dropDuplicates(["_row"]).select(*columns)
+    return once.unionByName(repeated)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from filmdw.llm.blocks import by_shard, in_blocks, inside, packed, recurring, table_of, texts_of, unpacked
+from filmdw.llm.blocks import by_shard, in_blocks, inside, packed, placed, recurring, table_of, texts_of, unpacked
 from filmdw.llm.blocks import BLOCKS_PER_SHARD
 from filmdw.llm.hashing import run_hashes, slices, word_hashes
 
@@ -90,9 +90,12 @@ def _answer(right: pa.Table, *kinds) -> list[np.ndarray]:
     return [c[order] for c in columns]
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the remaining words joined by a blank) and kept_sha256."""
-    dealt, blocks = in_blocks(docs)
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (the remaining words joined by a blank), kept_sha256, and the
+    columns of ``carry`` in one."""
+    dealt, blocks = in_blocks(docs, carry)
     shards = max(1, blocks // BLOCKS_PER_SHARD)
     suspected = recurring(dealt, blocks, _anchors(window, anchor))
 
@@ -101,7 +104,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
             return table_of(_WINDOWS, [])
         (anchors,) = _answer(right, ("values", np.uint64))
         parts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for documents, least, one, two in _windows(*texts_of(left), window, anchor):
+        for documents, least, one, two in _windows(*texts_of(placed(left)), window, anchor):
             chosen = inside(least, anchors)[0]
             for part, column in zip(parts, (documents, one, two)):
                 part.append(column[chosen])
@@ -144,9 +147,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
 
     def locate(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return table_of(_RESULT, [])
+            return table_of(_RESULT, []).append_column("carried", left["carried"])
         one, two, owner = _answer(right, ("one", np.uint64), ("two", np.uint64), ("owner", np.int64))
-        return table_of(_RESULT, _stream(*texts_of(left), one, two, owner, window))
+        left = placed(left)
+        found = table_of(_RESULT, _stream(*texts_of(left), one, two, owner, window))
+        return found.append_column("carried", left["carried"])
 
     blocks_of = dealt.groupBy("block")
     sent = blocks_of.cogroup(suspected.groupBy("block")).applyInArrow(
@@ -154,10 +159,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     )
     owners = sent.groupBy("shard").applyInArrow(confirm, "block long, one binary, two binary, owner binary")
     return blocks_of.cogroup(owners.groupBy("block")).applyInArrow(
-        locate, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
+        locate,
+        "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string, carried "
+        + dealt.schema["carried"].dataType.simpleString(),
     )
 
 
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, in its columns, without repeated passages. A text that loses nothing stays as it is,
+    others become their remaining words joined by a blank; without any left, the row goes. ``n_chars``,
+    where there is one, follows the text."""
+    rows = remove_repeats(docs, carry=tuple(docs.columns), **options)
+    text = F.when(F.col("n_removed") == 0, F.col("carried.text")).otherwise(F.col("kept"))
+    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    rows = rows.where("n_removed = 0 OR n_removed < n_words")
+    return rows.select(*[new.get(c, F.col("carried")[c]).alias(c) for c in docs.columns])
+
+
 def _stream(ids: list, texts: list[bytes], one, two, owner, window: int) -> list[tuple]:
     """Compile the confirmed passages of a block and look for them in all its documents."""
     import ahocorasick

@@ -16,7 +16,7 @@ def op1_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return phrases.remove_repeats(documents(spark, sf_dir)).drop("kept")
+    return phrases.remove_repeats(documents(spark, sf_dir)).drop("kept", "carried")
 
 
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

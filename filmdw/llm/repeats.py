@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from filmdw.llm.blocks import BLOCKS_PER_SHARD, by_shard, in_blocks, inside, packed, recurring, table_of, texts_of, unpacked
+from filmdw.llm.blocks import BLOCKS_PER_SHARD, by_shard, in_blocks, inside, packed, placed, recurring, table_of, texts_of, unpacked
 from filmdw.llm.hashing import mixed, powers
 
 LENGTH = 400
@@ -259,7 +259,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ofte
             return table_of(_SENT, [])
         block = left["block"][0].as_py()
         values, hot = answers(right)
-        texts = texts_of(left)[1]
+        texts = texts_of(placed(left))[1]
         held: dict[int, dict[bytes, int]] = defaultdict(dict)
         windows = [np.zeros((2, 0), np.uint64)]
         for i, _, anchors, first, after in segments_of(texts, length, gram):
@@ -337,7 +337,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ofte
     def remove(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return table_of(_RESULT, [])
-        ids, texts = texts_of(left)
+        ids, texts = texts_of(placed(left))
         spans: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         one, two = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         hot = [np.zeros(0, np.uint64)]
