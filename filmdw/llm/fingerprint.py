@@ -104,8 +104,9 @@ def edited_likeness(docs: DataFrame, k: int = SMALLEST) -> DataFrame:
     document. Where rows share an id, that document's text is the smallest of theirs; a row without an
     id has no next document. Texts are dealt by id once; the exchange is used from both sides.
     """
-    # both uses below read the same exchange
-    dealt = docs.select("doc_id", text_or_empty(F.col("text")).alias("text")).repartition("doc_id")
+    texts = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
+    # both uses below read the same exchange, so both have the same filter
+    dealt = texts.where("doc_id IS NOT NULL").repartition("doc_id")
     links = followers(docs)
     alone = dealt.groupBy("doc_id").agg(F.min("text").alias("text"))
     ahead = alone.join(links.withColumnRenamed("doc_id", "_before"), F.col("doc_id") == F.col("next_id"))
@@ -114,7 +115,9 @@ def edited_likeness(docs: DataFrame, k: int = SMALLEST) -> DataFrame:
         F.substring("text", F.lit(1), F.col("need")).alias("_start"),
         "_next",
     )
-    rows = dealt.join(ahead, "doc_id", "left").withColumn("n_chars", F.length("text"))
+    nothing = [F.lit(None).cast("string").alias("_start"), F.lit(None).cast("array<bigint>").alias("_next")]
+    nameless = texts.where("doc_id IS NULL").select("*", *nothing)
+    rows = dealt.join(ahead, "doc_id").unionByName(nameless).withColumn("n_chars", F.length("text"))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), F.col("n_chars") - quarter),

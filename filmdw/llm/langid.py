@@ -5,9 +5,8 @@ A text is the average of the embeddings of its words' character n-grams (a word
 gradient descent with averaged gradients per minibatch. As average and softmax are linear, the
 trained table is folded into one row of class scores per bucket, and a prediction is a sum of rows.
 
-Probabilities are calibrated by a temperature fitted on held-back segments, and a document is
-rejected when its calibrated score is below the level that all but ``REJECT_SHARE`` of the held-back
-segments reach.
+Probabilities are calibrated by a temperature fitted on held-back segments, so a score says how often
+such a prediction is right. A document is rejected when that is less often than ``REJECT_BELOW``.
 
 The model is fitted on a bounded sample: at most ``PER_LANGUAGE`` rows of a language, in a seeded
 order, and ``SEGMENTS`` segments of ``SEGMENT_WORDS`` words from each, taken anywhere in the text.
@@ -36,7 +35,7 @@ BUCKETS = 1 << 16
 DIMENSIONS = 16
 EPOCHS = 6
 RATE = 2.0
-REJECT_SHARE = 0.002
+REJECT_BELOW = 0.5
 SEED = 11
 UNDETERMINED = "und"
 #: words whose scores a worker keeps before it starts anew
@@ -90,7 +89,7 @@ def train(
     dimensions: int = DIMENSIONS,
     epochs: int = EPOCHS,
     rate: float = RATE,
-    reject_share: float = REJECT_SHARE,
+    reject_below: float = REJECT_BELOW,
     seed: int = SEED,
     batch: int = 32,
 ) -> Model | None:
@@ -137,13 +136,12 @@ def train(
         right = _softmax(scores / temperature)[np.arange(len(held)), target[held]]
         losses.append(-np.log(np.maximum(right, 1e-12)).mean())
     temperature = float(temperatures[int(np.argmin(losses))])
-    top = _softmax(scores / temperature).max(axis=1)
     return Model(
         languages,
         (embeddings @ weights).astype(np.float32),
         bias.astype(np.float32),
         temperature,
-        float(np.quantile(top, reject_share)),
+        reject_below,
     )
 
 
