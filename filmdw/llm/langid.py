@@ -237,8 +237,8 @@ class _Scorer:
         return best, top
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs``, with lang_pred, score and rejected."""
+def predict(docs: DataFrame, model: Model | None, keep: list[str], prefix: str = "") -> DataFrame:
+    """The columns ``keep`` of ``docs``, with lang_pred, score and rejected, named with ``prefix``."""
     spark = docs.sparkSession
     # bounded: buckets x languages numbers
     shared = spark.sparkContext.broadcast(model)
@@ -262,13 +262,15 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
             rejected = [b < 0 or t < model.least_score for b, t in zip(best, top)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(top), pa.array(rejected, pa.bool_())],
-                [*keep, "lang_pred", "score", "rejected"],
+                [*keep, *names_out],
             )
 
+    names_out = [f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")]
     # a text that is kept is not sent twice
     at = keep.index("text") if "text" in keep else len(keep)
     rows = docs.select(*keep) if "text" in keep else docs.select(*keep, F.col("text").alias("_read"))
-    return rows.mapInArrow(run, f"{out}, lang_pred string, score double, rejected boolean")
+    kinds = ", ".join(f"`{n}` {kind}" for n, kind in zip(names_out, ("string", "double", "boolean")))
+    return rows.mapInArrow(run, f"{out}, {kinds}")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -281,5 +283,5 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, whose language is told with enough confidence."""
-    rows = predict(docs, fit(docs), docs.columns)
-    return rows.where("NOT rejected").select(*docs.columns)
+    rows = predict(docs, fit(docs), docs.columns, "_language_")
+    return rows.where("NOT _language_rejected").select(*docs.columns)

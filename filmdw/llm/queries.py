@@ -82,18 +82,48 @@ QUERIES = {
     "op10_interval_tree": op10_interval_tree,
 }
 
-_OP3 = """
-WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+_MARKS = r"([<\[])(~*)(/?(?:s>|INST\]))"
+
+_OP3 = f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, regexp_replace(said, '{_MARKS}', '\\1~\\2\\3', 'g') AS escaped,
+    6 + length(replace(replace(replace(replace(role, '~', '~0'), chr(10), '~1'), ']', '~2'), '<', '~3')) AS head
+  FROM given),
+counted AS (
+  SELECT *, head + length(escaped) + 5 AS chars,
+    CAST(ceil((head + length(escaped) + 5) / {chat.CHARACTERS_PER_TOKEN}.0) AS BIGINT) AS tokens,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, escaped) AS place
+  FROM marked),
+summed AS (
+  SELECT *, sum(tokens) OVER w - tokens AS before,
+    2 * sum(CASE WHEN tokens > {chat.BUDGET // 2} THEN 1 ELSE 0 END) OVER w
+      - CASE WHEN tokens > {chat.BUDGET // 2} THEN 1 ELSE 0 END AS large
+  FROM counted WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
+opened AS (
+  SELECT *, CASE WHEN (lag(before // {chat.BUDGET // 2}) OVER w, lag(large) OVER w)
+      <> (before // {chat.BUDGET // 2}, large) AND place > 1 THEN 1 ELSE 0 END AS opens
+  FROM summed WINDOW w AS (PARTITION BY conv_id ORDER BY place)),
+spans AS (
+  SELECT *, sum(opens) OVER (PARTITION BY conv_id ORDER BY place) AS span,
+    sum(opens) OVER (PARTITION BY conv_id) AS final
+  FROM opened),
+used AS (
+  SELECT *, CASE WHEN role = 'system' AND place = 1 THEN final - span
+      WHEN span < final AND row_number() OVER (PARTITION BY conv_id, span ORDER BY place DESC) <= {chat.HISTORY}
+      THEN 1 ELSE 0 END AS again
+  FROM spans),
 joined AS (
   SELECT conv_id, count(*) AS n_turns,
-    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS lines,
-    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss
-  FROM turns GROUP BY conv_id)
+    string_agg(role || chr(10) || said || chr(10), '' ORDER BY place) AS lines,
+    coalesce(string_agg(said, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '') AS loss,
+    CAST(sum(chars * (1 + again)) AS BIGINT) AS formatted_chars
+  FROM used GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_chars,
-  sha256(loss) AS loss_sha256 FROM joined
+  sha256(loss) AS loss_sha256, formatted_chars FROM joined
 """
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_chat_windows": _OP3}
