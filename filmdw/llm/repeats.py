@@ -173,7 +173,7 @@ def maximal_repeats(text: np.ndarray, order: np.ndarray, common: np.ndarray, lea
     at = np.flatnonzero(common >= least)
     previous = -2
     for i in [*at.tolist(), n]:
-        if i != previous + 1:  # a smaller common prefix between: every open interval ends
+        if i != previous + 1 or i == n:  # a smaller common prefix between: every open interval ends
             while stack:
                 depth, start = stack.pop()
                 if differs[previous] > differs[start]:

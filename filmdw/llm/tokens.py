@@ -1,23 +1,31 @@
 """Token ids of whole texts by the tokenizers library, through a bounded table of known pieces.
 
 Both vocabularies work on pretokens that never reach across certain blanks, so a text is cut at
-those blanks, each distinct piece is encoded once by the library, and a text's ids are put together
-from the pieces. Control strings of a vocabulary are ordinary text here.
+those blanks and its ids are put together from those of the pieces. A piece not seen before is cut
+into pretokens, and each new pretoken is encoded once by the library's model. Control strings of a
+vocabulary are ordinary text here.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import regex
 
 #: characters held in the table of pieces before it starts anew
-KEPT_CHARACTERS = 8_000_000
+KEPT_CHARACTERS = 9_000_000
 #: characters of text encoded at a time
 SLICE_CHARACTERS = 2_000_000
 
+#: pretokens of the byte-level vocabulary; with word ends, the file has its own pattern
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: characters that are blanks to one of the two pattern libraries only
+_DOUBTFUL = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
 _TWO_BLANKS = re.compile(r"\s\s")
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _ENCODERS: dict[str, Encoder] = {}
@@ -30,6 +38,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_names() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: visible ones for themselves,
+    the others by their order from code point 256."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,10 +59,17 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         # with word ends, blanks only separate; without, a blank belongs to the piece after it
         self.blanks_matter = not self.tokenizer.model.end_of_word_suffix
+        if self.blanks_matter:
+            pattern = BYTE_LEVEL
+        else:
+            pattern = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pretokens = regex.compile(pattern).findall
+        self.byte_names = dict(enumerate(_byte_names()))
         self._clear()
 
     def _clear(self):
         self.known: dict = {}
+        self.of_pretoken: dict[str, bytes] = {}
         self.characters = 0
         self.starts = np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 18, np.uint32)
@@ -62,9 +89,9 @@ class Encoder:
             strings = [p[0] if type(p) is tuple else " " + p for p in missing]
         else:
             strings = missing
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for one in ids for i in one), np.uint32, int(lengths.sum()))
+        ids = [self._ids(s) for s in strings]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
         n = len(self.known)
         while n + len(ids) + 1 > len(self.starts):
             self.starts = np.resize(self.starts, 2 * len(self.starts))
@@ -77,6 +104,23 @@ class Encoder:
         self.characters += sum(map(len, strings))
         self.known.update(zip(missing, range(n, n + len(ids))))
 
+    def _ids(self, piece: str) -> bytes:
+        """The ids of a piece as unsigned 32-bit integers, packed to keep the tables small."""
+        if _DOUBTFUL.search(piece):
+            return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        if not self.blanks_matter:
+            piece = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
+        found = []
+        for pretoken in self.pretokens(piece):
+            own = self.of_pretoken.get(pretoken)
+            if own is None:
+                named = pretoken.encode().decode("latin-1").translate(self.byte_names)
+                own = packed([t.id for t in self.tokenizer.model.tokenize(named)])
+                self.of_pretoken[pretoken] = own
+                self.characters += len(pretoken)
+            found.append(own)
+        return b"".join(found)
+
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.characters > KEPT_CHARACTERS:
             self._clear()
