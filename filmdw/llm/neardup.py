@@ -7,7 +7,7 @@ are dropped first; keys are formed from the rest only.
 
 Rows with equal sets form a class, and only classes are compared. In a table bucket, members are
 compared with a few pivots, links are confirmed on the full sets, components are formed, and only
-buckets that still hold several components go on with more pivots: their number grows fourfold, so
+buckets that still hold several components go on with more pivots: their number grows eightfold, so
 a bucket of linked copies is settled after one comparison each, and any other bucket is compared in
 full within few rounds. No bucket is capped, and a pair within a component is not compared again.
 
@@ -33,7 +33,7 @@ SHINGLE = 5
 PERCENT = 80
 HALVES = 12
 ROWS = 2
-PIVOT_GROWTH = 4
+PIVOT_GROWTH = 8
 
 
 def shingle_sets(texts: list[bytes], shingle: int) -> Iterator[np.ndarray]:
@@ -177,8 +177,8 @@ def link_classes(members: DataFrame, texts: DataFrame, shingle: int, percent: in
     spark = members.sparkSession
     # one row for each class and bucket, and whether it has been a pivot of the bucket
     open_rows = members.withColumn("component", F.col("node")).withColumn("done", F.lit(False))
-    links = spark.createDataFrame([], "p long, x long")
-    seen, labels, pivots = links, spark.createDataFrame([], "node long, component long"), 1
+    links = seen = spark.createDataFrame([], "p long, x long")
+    labels, pivots = None, 1
     while True:
         spread = open_rows.groupBy("key").agg(
             F.min("component").alias("lo"),
@@ -186,36 +186,54 @@ def link_classes(members: DataFrame, texts: DataFrame, shingle: int, percent: in
             F.min(F.when(~F.col("done"), F.col("node"))).alias("first"),
         )
         spread = spread.where("lo < hi AND first IS NOT NULL").select("key", "first")
-        open_rows = write_stage(open_rows.join(spread, "key"), "open-buckets")
-        if open_rows.limit(1).count() == 0:
-            return links, labels
+        open_rows = open_rows.join(spread, "key")
         if pivots == 1:
             chosen = F.col("node") == F.col("first")
         else:
             place = F.row_number().over(Window.partitionBy("key").orderBy("done", "node"))
             open_rows = open_rows.withColumn("place", place)
             chosen = ~F.col("done") & (F.col("place") <= pivots)
-        open_rows = write_stage(open_rows.withColumn("pivot", chosen).drop("first", "place"), "open-buckets")
+        open_rows = open_rows.select("key", "node", "component", "done", chosen.alias("pivot"))
+        open_rows = write_stage(open_rows, "open-buckets")
+        if open_rows.isEmpty():
+            return links, spark.createDataFrame([], "node long, component long") if labels is None else labels
         leads = open_rows.where("pivot").select("key", F.col("node").alias("p"), F.col("component").alias("of_p"))
         pairs = (
             open_rows.where("NOT done").join(leads, "key")
             .where("component != of_p AND NOT (pivot AND node < p)")
             .select(F.least("p", "node").alias("p"), F.greatest("p", "node").alias("x"))
             .distinct()
-            .join(seen, ["p", "x"], "left_anti")
         )
+        if pivots > 1:
+            pairs = pairs.join(seen, ["p", "x"], "left_anti")
         pairs = write_stage(pairs, "pairs")
         found = write_stage(confirmed(pairs, texts, shingle, percent), "confirmed")
         seen, links = seen.unionByName(pairs), links.unionByName(found)
-        labels = components(links)
-        open_rows = (
-            open_rows.select("key", "node", (F.col("done") | F.col("pivot")).alias("done"))
-            .join(labels, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("component"), "done")
-        )
+        open_rows = open_rows.select("key", "node", "component", (F.col("done") | F.col("pivot")).alias("done"))
+        if not found.isEmpty():
+            labels = _relabelled(labels, found)
+            open_rows = (
+                open_rows.drop("component")
+                .join(labels, "node", "left")
+                .withColumn("component", F.coalesce("component", "node"))
+            )
         pivots *= PIVOT_GROWTH
 
 
+def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Labels after new links: the components found so far are linked, not their nodes again."""
+    if labels is None:
+        return components(found)
+    now = [labels.select(F.col("node").alias(e), F.col("component").alias(f"of_{e}")) for e in ("p", "x")]
+    between = found.join(now[0], "p", "left").join(now[1], "x", "left").select(
+        F.coalesce("of_p", "p").alias("p"), F.coalesce("of_x", "x").alias("x")
+    )
+    merged = components(between.where("p != x").distinct())
+    onward = merged.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    old = labels.join(onward, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+    return write_stage(old.unionByName(merged.join(labels, "node", "left_anti")), "labels")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, rows: int = ROWS
 ) -> DataFrame:
