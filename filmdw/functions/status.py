@@ -33,11 +33,11 @@ def job_status(pct: Column) -> Column:
     return _ladder(pct, JOB_LADDER, JOB_FLOOR)
 
 
-def load_status(inserted: Column, failed: Column) -> Column:
+def load_status(inserted: int, failed: int) -> str:
     """Status of a delta load."""
-    return (
-        F.when(failed == 0, "SUCCESS").when(inserted > 0, "PARTIAL_SUCCESS").otherwise("FAILED")
-    )
+    if failed == 0:
+        return "SUCCESS"
+    return "PARTIAL_SUCCESS" if inserted > 0 else "FAILED"
 
 
 def batch_status(failed: Column) -> Column:

@@ -43,11 +43,17 @@ def missing_words_to_null(raw: DataFrame) -> DataFrame:
 
 
 def typed(raw: DataFrame) -> DataFrame:
-    """Cast text columns; a bad date or number becomes NULL."""
+    """Cast text columns; a bad date or number becomes NULL.
+
+    Ids, dates and money that are typed already stay plain columns, so that filters on them reach
+    the scan; money that is not a number fails those filters.
+    """
+    kinds = dict(raw.dtypes)
     casts: dict[str, Column] = {"id": number(F.col("id"), "bigint")}
     casts["release_date"] = lossy_date(F.col("release_date"))
     casts |= {c: number(F.col(c)) for c in RAW_NUMBERS if c in raw.columns}
-    return raw.withColumns(casts)
+    plain = {"id": "bigint", "release_date": "date", "budget": "double", "revenue": "double"}
+    return raw.withColumns({c: e for c, e in casts.items() if plain.get(c) != kinds[c]})
 
 
 def removed_by() -> Column:
@@ -60,7 +66,7 @@ def removed_by() -> Column:
     return (
         F.when(fails(day >= F.lit(FIRST_DATE).cast("date")), "too_old_or_undated")
         .when(fails(day <= F.lit(LAST_DATE).cast("date")), "future")
-        .when(fails(both_positive(budget, revenue)), "no_money")
+        .when(fails(both_positive(budget, revenue)) | F.isnan(budget) | F.isnan(revenue), "no_money")
         .when(fails((budget <= MAX_BUDGET) & (revenue <= MAX_REVENUE)), "outlier")
         .otherwise("kept")
     )

@@ -123,7 +123,8 @@ def top_revenue(fact: DataFrame, genres: DataFrame, times: DataFrame, n: int = 1
     rows = top.join(labels, "genre_id", "left").join(years, "time_id", "left")
     return rows.select(
         "movie_id",
-        shown_title(F.col("title")).alias("title"),
+        "title",
+        shown_title(F.col("title")).alias("shown_title"),
         F.coalesce("genre_name", F.lit(UNKNOWN)).alias("genre_name"),
         F.coalesce("year", F.lit(0)).alias("year"),
         "budget",

@@ -63,8 +63,14 @@ def calendar_lookup(left: DataFrame, times: DataFrame, day: str) -> DataFrame:
 
 
 def keep_unknown(left: DataFrame, keys: DataFrame, key: str, **limits) -> DataFrame:
-    """Rows of ``left`` whose key is not in ``keys``; rows without a key stay."""
-    known = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    """Rows of ``left`` whose key is not in ``keys``; rows without a key stay.
+
+    Only keys that ``left`` holds are gathered, so the cost follows ``left``, plus one scan of the
+    key column of ``keys``.
+    """
+    wanted = write_stage(left.select(key).where(F.col(key).isNotNull()).distinct(), "wanted")
+    few = F.broadcast(wanted) if fits_broadcast(wanted, limits.get("broadcast_rows")) else wanted
+    known = keys.select(key).join(few, key, "left_semi").distinct()
     flagged = write_stage(known.withColumn("_known", F.lit(True)), "known")
     joined = lookup(left, flagged, key, **limits)
     return joined.where(F.col("_known").isNull()).drop("_known").select(*left.columns)

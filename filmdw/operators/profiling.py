@@ -174,7 +174,8 @@ def top_grossing(df: DataFrame, key: str, n: int = 10) -> DataFrame:
     top = df.orderBy(F.desc_nulls_last("revenue"), key).limit(n)
     return top.select(
         key,
-        F.substring("title", 1, 45).alias("title"),
+        "title",
+        F.substring("title", 1, 45).alias("shown_title"),
         "release_date",
         billions(F.col("revenue")).alias("revenue_billions"),
         millions(F.col("budget")).alias("budget_millions"),

@@ -320,7 +320,7 @@ def cleaned_checks(cleaned: DataFrame) -> DataFrame:
     def share(bad: Column) -> Column:
         return percent(F.count_if(F.coalesce(bad, F.lit(False))), F.count("*"))
 
-    empty = {"genres": F.col("genres").isNull() | (F.col("genres") == "")}
+    empty = {c: F.col(c).isNull() | (F.col(c) == "") for c in ("genres", "title")}
     upper: list[tuple[str, Column, float]] = [
         (f"empty {c} pct", share(empty.get(c, F.col(c).isNull())), limit)
         for c, limit in MAX_NULL_PCT.items()

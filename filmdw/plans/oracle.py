@@ -29,16 +29,16 @@ PARTS = {
                CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE)
                END AS release_date,
                CASE WHEN o_orderkey % 13 = 0 THEN 0.0 WHEN o_orderkey % 101 = 0 THEN -1.0
-                    ELSE ROUND(price, 2) END::DOUBLE AS budget,
+                    ELSE COALESCE(ROUND(price, 2), 0.0) END::DOUBLE AS budget,
                CASE WHEN o_orderkey % 29 = 0 THEN 0.0 ELSE o_totalprice END::DOUBLE AS revenue,
                CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 31 = 0 THEN 700.0
                     ELSE quantity END::DOUBLE AS runtime,
-               CASE WHEN o_orderkey % 89 = 0 THEN 11.0 ELSE LEAST(n, 10.0) END::DOUBLE
+               CASE WHEN o_orderkey % 89 = 0 THEN 11.0 ELSE LEAST(COALESCE(n, 0), 10.0) END::DOUBLE
                     AS vote_average,
                CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE n END::DOUBLE AS vote_count,
                ROUND(tax, 2) AS popularity,
                'CSV_chunk_' || (1 + o_orderkey % 4) AS source
-        FROM orders JOIN lines ON l_orderkey = o_orderkey""",
+        FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey""",
     "staging": """
         SELECT *, revenue - budget AS profit,
                CASE WHEN budget <> 0 THEN (revenue - budget) / budget END AS roi,
@@ -383,7 +383,8 @@ FINAL: dict[str, tuple[list[str], str]] = {
     ),
     "fact_top_revenue": (
         ["fact"],
-        """SELECT f.movie_id, COALESCE(NULLIF(f.title, ''), 'Unknown') AS title,
+        """SELECT f.movie_id, f.title,
+           COALESCE(NULLIF(substr(f.title, 1, 40), ''), 'Unknown') AS shown_title,
            COALESCE(g.genre_name, 'Unknown') AS genre_name, COALESCE(t.year, 0) AS year, f.budget,
            f.revenue, ROUND(f.profit, 2) AS profit,
            ROUND(f.revenue / 1e9, 9) AS revenue_billions, ROUND(f.roi, 6) AS roi
@@ -607,7 +608,8 @@ FINAL: dict[str, tuple[list[str], str]] = {
     ),
     "top_grossing": (
         ["film"],
-        """SELECT movie_id, title, release_date, ROUND(revenue / 1e9, 9) AS revenue_billions,
+        """SELECT movie_id, title, substr(title, 1, 45) AS shown_title, release_date,
+           ROUND(revenue / 1e9, 9) AS revenue_billions,
            ROUND(budget / 1e6, 9) AS budget_millions FROM film
            ORDER BY revenue DESC, movie_id LIMIT 10""",
     ),
@@ -711,7 +713,7 @@ FINAL: dict[str, tuple[list[str], str]] = {
             f""" UNION ALL SELECT '{name}', ROUND(COUNT(*) FILTER ({bad}) * 100.0 / COUNT(*), 6),
                 {limit}, COUNT(*) FILTER ({bad}) * 100.0 / COUNT(*) < {limit} FROM cleaned"""
             for name, bad, limit in [
-                ("empty title pct", "title IS NULL", 1.0),
+                ("empty title pct", "title IS NULL OR title = ''", 1.0),
                 ("empty release_date pct", "release_date IS NULL", 1.0),
                 ("empty genres pct", "genres IS NULL OR genres = ''", 10.0),
                 ("empty budget pct", "budget IS NULL", 50.0),
@@ -770,7 +772,8 @@ FINAL: dict[str, tuple[list[str], str]] = {
     "delta_new_ids": (
         ["documents_parsed"],
         """SELECT movie_id, title, genres, release_date, budget, revenue, profit
-           FROM documents_parsed WHERE movie_id NOT IN (SELECT movie_id FROM film)""",
+           FROM documents_parsed
+           WHERE movie_id NOT IN (SELECT movie_id FROM film WHERE source <> 'CSV_chunk_4')""",
     ),
     "primary_tokens": (
         ["first_tokens"],
@@ -852,7 +855,13 @@ FINAL: dict[str, tuple[list[str], str]] = {
     "incremental_details": (
         ["documents_parsed"],
         """SELECT movie_id, title, release_date, revenue, source FROM documents_parsed
-           WHERE movie_id NOT IN (SELECT movie_id FROM film)""",
+           WHERE movie_id NOT IN (SELECT movie_id FROM film WHERE source <> 'CSV_chunk_4')""",
+    ),
+    "delta_rejects": (
+        [],
+        """SELECT CASE WHEN o_orderkey % 53 = 0 THEN 'cut short'
+                  WHEN o_orderkey % 59 = 0 THEN 'null budget' ELSE 'loaded' END AS outcome,
+             COUNT(*) AS documents FROM orders GROUP BY 1""",
     ),
 }
 

@@ -31,7 +31,7 @@ from filmdw.sources.bindings import (
     staging_from_orders,
     table,
 )
-from filmdw.streaming.incremental import load_new_files, load_new_ids, read_loaded
+from filmdw.streaming.incremental import load_new_files, load_new_ids, read_loaded, rejects_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -643,12 +643,18 @@ def details_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows, profit=2, roi=6)
 
 
+def _first_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of parts 1 to 3; part 4 is what a delta load has still to bring."""
+    staged = staging_from_orders(spark, sf_dir, ()).where("source != 'CSV_chunk_4'")
+    return staged.select("movie_id")
+
+
 @register
 def delta_new_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose id is not staged: orders without lines."""
+    """Documents whose id is not staged in the first three parts."""
     good, _ = delta.parse_detail_text(detail_documents(spark, sf_dir))
     batch = delta.parse_details(good, AS_OF)
-    staged = delta.distinct_ids(staging_from_orders(spark, sf_dir, ()))
+    staged = _first_parts(spark, sf_dir)
     new = delta.delta_load(staged, batch)
     return new.select("movie_id", "title", "genres", "release_date", "budget", "revenue", "profit")
 
@@ -830,8 +836,30 @@ def incremental_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _run_folder(spark, "details")
     landing, target, checkpoint = (f"{folder}/{n}" for n in ("landing", "target", "checkpoint"))
     detail_documents(spark, sf_dir).withColumnRenamed("json", "value").write.text(landing)
-    staged = staging_from_orders(spark, sf_dir, ()).select("movie_id")
+    staged = _first_parts(spark, sf_dir)
     for _ in range(2):
         load_new_ids(spark, landing, target, checkpoint, staged, AS_OF)
     loaded = read_loaded(spark, target, stages.STAGING)
     return loaded.select("movie_id", "title", "release_date", "revenue", "source")
+
+
+@register
+def delta_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which every 53rd is cut short and every 59th has a null budget: what a load keeps
+    and what it puts aside."""
+    folder = _run_folder(spark, "rejects")
+    landing, target, checkpoint = (f"{folder}/{n}" for n in ("landing", "target", "checkpoint"))
+    key = F.get_json_object("json", "$.id").cast("bigint")
+    no_budget = F.regexp_replace("json", '"budget":[^,]*,', '"budget":null,')
+    text = F.when(F.pmod(key, F.lit(53)) == 0, F.substring("json", F.lit(1), F.length("json") - 9)).when(
+        F.pmod(key, F.lit(59)) == 0, no_budget
+    )
+    documents = detail_documents(spark, sf_dir)
+    documents.select(F.coalesce(text, F.col("json")).alias("value")).write.text(landing)
+    load_new_ids(spark, landing, target, checkpoint, None, AS_OF)
+    loaded = read_loaded(spark, target, stages.STAGING).select(F.lit("loaded").alias("outcome"))
+    aside = spark.read.schema("json string").parquet(rejects_of(target))
+    why = F.when(F.col("json").endswith("}"), "null budget").otherwise("cut short")
+    return loaded.unionByName(aside.select(why.alias("outcome"))).groupBy("outcome").agg(
+        F.count("*").alias("documents")
+    )

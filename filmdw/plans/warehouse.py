@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from filmdw.fixed_values import FACT_TABLE, STAGING_TABLE
 from filmdw.functions.dates import seconds_between
-from filmdw.functions.status import batch_status
+from filmdw.functions.status import batch_status, load_status
 from filmdw.operators.aggregates import aggregate_by_genre, aggregate_by_year
-from filmdw.operators.delta import delta_load, distinct_ids, parse_details
+from filmdw.operators.delta import delta_load, parse_detail_text, parse_details
 from filmdw.operators.dimensions import (
     build_dim_country,
     build_dim_genre,
@@ -35,6 +35,7 @@ from filmdw.session import write_stage
 LOG_TABLE = "ETL_Log"
 REPORT_TABLE = "Quality_Report"
 REJECT_TABLE = "Staging_Rejects"
+REJECTED_DOCUMENTS = "Document_Rejects"
 
 
 @dataclass(frozen=True)
@@ -105,10 +106,10 @@ class Warehouse:
         fresh = load_once(self.read(STAGING_TABLE), rows)
         return self.append(STAGING_TABLE, self._keyed_after(fresh))
 
-    def _keep_rejects(self, rejects: DataFrame) -> int:
-        if self.exists(REJECT_TABLE):
-            return self.append(REJECT_TABLE, rejects)
-        return self.replace(REJECT_TABLE, rejects)
+    def _keep_rejects(self, rejects: DataFrame, table: str = REJECT_TABLE) -> int:
+        if self.exists(table):
+            return self.append(table, rejects)
+        return self.replace(table, rejects)
 
     def load_part(self, cleaned: DataFrame, part: int, as_of: str | None = None) -> str:
         """Load one numbered part at most once; returns the logged status.
@@ -128,16 +129,25 @@ class Warehouse:
         self.log(job, start, datetime.now(timezone.utc), loaded, failed, status)
         return status
 
-    def load_delta(self, details: DataFrame, as_of: str | None = None) -> int:
-        """Append detail documents whose id is not staged yet; returns how many."""
-        batch = write_stage(parse_details(details, as_of), "delta")
-        staged = distinct_ids(self.read(STAGING_TABLE))
-
-        def work() -> int:
-            fresh = self._keyed_after(delta_load(staged, batch))
-            return self.append(STAGING_TABLE, fresh)
+    def load_delta(self, documents: DataFrame, as_of: str | None = None) -> int:
+        """Append detail documents whose id is not staged yet; returns how many.
 
-        return self.run("API_Refresh", work)
+        Documents are JSON text in a column ``json``. Those that cannot be read go to a table of
+        their own and count as failed.
+        """
+        start = datetime.now(timezone.utc)
+        good, bad = parse_detail_text(write_stage(documents.select("json"), "documents"))
+        batch = write_stage(parse_details(good, as_of), "delta")
+        try:
+            failed = self._keep_rejects(bad, REJECTED_DOCUMENTS)
+            fresh = self._keyed_after(delta_load(self.read(STAGING_TABLE), batch))
+            added = self.append(STAGING_TABLE, fresh)
+        except Exception as error:
+            self.log("API_Refresh", start, datetime.now(timezone.utc), 0, 0, "FAILED", str(error))
+            raise
+        status = load_status(added, failed)
+        self.log("API_Refresh", start, datetime.now(timezone.utc), added, failed, status)
+        return added
 
     def _keyed_after(
         self, rows: DataFrame, table: str = STAGING_TABLE, key: str = "staging_id"
@@ -172,7 +182,7 @@ class Warehouse:
         try:
             rows = work()
         except Exception as error:
-            self.log(job, start, datetime.now(timezone.utc), 0, 0, "FAILED", str(error)[:4000])
+            self.log(job, start, datetime.now(timezone.utc), 0, 0, "FAILED", str(error))
             raise
         self.log(job, start, datetime.now(timezone.utc), rows, 0, "SUCCESS")
         return rows

@@ -51,6 +51,11 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def stage_root(spark: SparkSession) -> str:
+    """Folder of this application's written tables; others on the same root have their own."""
+    return f"{scratch_root(spark)}/filmdw/{spark.sparkContext.applicationId}"
+
+
 def write_stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
@@ -58,7 +63,7 @@ def write_stage(df: DataFrame, label: str) -> DataFrame:
     a lost executor costs a re-read, not a recomputation of the whole plan.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/filmdw/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,6 +77,6 @@ def run_together(spark: SparkSession, *works: Callable) -> list:
 
 
 def drop_stages(spark: SparkSession) -> None:
-    """Delete the written intermediate tables once their results are saved."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/filmdw")
+    """Delete this application's intermediate tables once its results are saved."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -28,7 +28,7 @@ def _joined(names: str) -> Column:
 
 
 def film_rows(spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = LISTS) -> DataFrame:
-    """One row per order with lines. Only the tables behind ``lists`` are joined.
+    """One row per order; without lines, no budget and no lists. Only the tables behind ``lists`` are joined.
 
     Sums and name sets are merged before the shuffle, so an order with very many
     lines costs one row per task; its set holds each name once.
@@ -52,7 +52,7 @@ def film_rows(spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = LISTS)
         sums.append(F.collect_set("s_name").alias("_names"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     per_order = lines.groupBy("l_orderkey").agg(*sums)
-    rows = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    rows = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
     columns = {
         "movie_id": F.col("o_orderkey"),
@@ -67,13 +67,15 @@ def film_rows(spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = LISTS)
             (F.pmod("o_orderkey", F.lit(8)) + 1).cast("int"),
         ),
         "release_date": F.when(~_every(19), F.col("o_orderdate").cast("date")),
-        "budget": F.when(_every(13), 0.0).when(_every(101), -1.0).otherwise(F.round("_price", 2)),
+        "budget": F.when(_every(13), 0.0).when(_every(101), -1.0).otherwise(
+            F.coalesce(F.round("_price", 2), F.lit(0.0))
+        ),
         "revenue": F.when(_every(29), 0.0).otherwise(F.col("o_totalprice")),
         "runtime": F.when(_every(11), F.lit(None)).when(_every(31), 700.0).otherwise(
             F.col("_quantity")
         ),
         "vote_average": F.when(_every(89), 11.0).otherwise(
-            F.least(F.col("_lines").cast("double"), F.lit(10.0))
+            F.least(F.coalesce("_lines", F.lit(0)).cast("double"), F.lit(10.0))
         ),
         "vote_count": F.when(~_every(7), F.col("_lines").cast("double")),
         "popularity": F.round("_tax", 2),

@@ -10,12 +10,12 @@ from filmdw.schemas import CLEANED_TEXT, DETAIL, LISTING, RAW_TEXT
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType = RAW_TEXT, multi_line: bool = True
+    spark: SparkSession, path: str, schema: StructType = RAW_TEXT, multi_line: bool = False
 ) -> DataFrame:
     """Delimited file with a header, as text columns.
 
-    Quoted line breaks need ``multi_line``, which reads a file in one task;
-    turn it off for files without them so that a large file is split.
+    A large file is split between tasks. Quoted line breaks need ``multi_line``, which reads a
+    file in one task.
     """
     return (
         spark.read.schema(schema)
@@ -29,7 +29,7 @@ def read_csv(
     )
 
 
-def read_cleaned_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_cleaned_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     return read_csv(spark, path, CLEANED_TEXT, multi_line)
 
 

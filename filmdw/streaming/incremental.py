@@ -1,7 +1,9 @@
 """Each landed file is loaded once; each unseen id is loaded once.
 
 The checkpoint remembers which files were read. A batch that is replayed after
-a failure writes the same ``batch_id`` folder again, so rows are not doubled.
+a failure writes the same folder again, so rows are not doubled. The folder
+names the checkpoint's query as well as the batch: a new checkpoint starts its
+batches at 0 again and must not replace those of an earlier one.
 """
 
 from __future__ import annotations
@@ -12,34 +14,55 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from filmdw.operators.delta import delta_load, parse_details
-from filmdw.schemas import DETAIL, RUN_LOG, STAGING
+from filmdw.functions.status import load_status
+from filmdw.operators.delta import delta_load, parse_detail_text, parse_details
+from filmdw.schemas import RUN_LOG, STAGING
+from filmdw.session import write_stage
 
 
 def _file_stream(
-    spark: SparkSession, path: str, schema: StructType, fmt: str, options: dict
+    spark: SparkSession, path: str, schema: StructType | None, fmt: str, options: dict
 ) -> DataFrame:
-    return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
+    stream = spark.readStream if schema is None else spark.readStream.schema(schema)
+    return stream.format(fmt).options(**options).load(path)
+
+
+def _run_id(spark: SparkSession) -> str:
+    """Id of the running query, which stays with its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def _write_batch(rows: DataFrame, target: str, batch_id: int) -> int:
     """Write one batch into its own folder; returns the rows written."""
+    run = _run_id(rows.sparkSession)
     written = Observation()
     (
         rows.observe(written, F.count("*").alias("rows"))
         .write.mode("overwrite")
-        .parquet(f"{target}/batch_id={batch_id}")
+        .parquet(f"{target}/run={run}/batch_id={batch_id}")
     )
     return written.get["rows"]
 
 
 def _log_batch(
-    spark: SparkSession, log_path: str, job: str, start: datetime, rows: int, batch_id: int
+    spark: SparkSession,
+    log_path: str,
+    job: str,
+    start: datetime,
+    rows: int,
+    batch_id: int,
+    failed: int = 0,
 ) -> None:
     end = datetime.now(timezone.utc)
-    row = (batch_id + 1, job, start, end, rows, 0, "SUCCESS", None, end)
+    row = (batch_id + 1, job, start, end, rows, failed, load_status(rows, failed), None, end)
     log = spark.createDataFrame([row], RUN_LOG)
-    log.coalesce(1).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+    path = f"{log_path}/run={_run_id(spark)}/batch_id={batch_id}"
+    log.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def load_new_files(
@@ -80,6 +103,11 @@ def read_loaded(spark: SparkSession, target: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(target).select(*schema.names)
 
 
+def rejects_of(target: str) -> str:
+    """Folder of the documents that a load into ``target`` could not read, as JSON text."""
+    return f"{target.rstrip('/')}-rejects"
+
+
 def load_new_ids(
     spark: SparkSession,
     landing: str,
@@ -93,29 +121,33 @@ def load_new_ids(
     """Load detail documents whose id is neither staged nor loaded before.
 
     Repeats inside a batch are reduced to one row. A replayed batch does not
-    see its own first attempt, which it overwrites.
+    see its own first attempt, which it overwrites. Documents that cannot be
+    read go to ``rejects_of(target)`` and are logged as failed.
     """
 
-    def unseen(batch: DataFrame, batch_id: int) -> DataFrame:
-        rows = parse_details(batch, as_of)
+    def unseen(rows: DataFrame, batch_id: int) -> DataFrame:
         known = spark.createDataFrame([], "movie_id bigint") if staged is None else staged
         known = known.select("movie_id")
-        if batch_id > 0:
-            before = spark.read.schema(STAGING).parquet(target)
-            before = before.where(F.col("batch_id") < batch_id)
-            known = known.unionByName(before.select("movie_id"))
+        if _exists(spark, target):
+            before = spark.read.schema(f"{STAGING.toDDL()}, run string, batch_id int").parquet(target)
+            own = (F.col("run") == _run_id(spark)) & (F.col("batch_id") >= batch_id)
+            known = known.unionByName(before.where(~own).select("movie_id"))
         return delta_load(known, rows, dedupe=True)
 
     added = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
         start = datetime.now(timezone.utc)
-        rows = _write_batch(unseen(batch, batch_id), target, batch_id)
+        texts = write_stage(batch.withColumnRenamed("value", "json"), "landed")
+        good, bad = parse_detail_text(texts)
+        failed = _write_batch(bad, rejects_of(target), batch_id)
+        parsed = write_stage(parse_details(good, as_of), "parsed")
+        rows = _write_batch(unseen(parsed, batch_id), target, batch_id)
         added.append(rows)
         if log_path:
-            _log_batch(spark, log_path, "Delta_Load", start, rows, batch_id)
+            _log_batch(spark, log_path, "Delta_Load", start, rows, batch_id, failed)
 
-    stream = _file_stream(spark, landing, DETAIL, "json", options)
+    stream = _file_stream(spark, landing, None, "text", options)
     query = (
         stream.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from filmdw.fixed_values import FACT_TABLE, STAGING_TABLE
 from filmdw.operators import cleaning, delta, staging
 from filmdw.plans.model_tables import build_models
-from filmdw.plans.warehouse import LOG_TABLE, REJECT_TABLE, Warehouse, run_summary
+from filmdw.plans.warehouse import LOG_TABLE, REJECT_TABLE, REJECTED_DOCUMENTS, Warehouse, run_summary
 from filmdw.schemas import CLEANED, RAW_TEXT, STAGING, WAREHOUSE
-from filmdw.session import drop_stages, scratch_root, write_stage
+from filmdw.session import drop_stages, scratch_root, stage_root, write_stage
 from filmdw.sources import files, writers
 from filmdw.sources.bindings import raw_from_orders, staging_from_orders, table
-from filmdw.streaming.incremental import load_new_files, load_new_ids, read_loaded
+from filmdw.streaming.incremental import load_new_files, load_new_ids, read_loaded, rejects_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -47,7 +47,7 @@ def test_csv_round_trip(spark, tmp_path):
     )
     df = odd.select(*[F.col(c) if c in odd.columns else F.lit("1").alias(c) for c in columns])
     writers.write_csv(df, str(tmp_path / "csv"))
-    found = {r["id"]: r for r in files.read_csv(spark, str(tmp_path / "csv")).collect()}
+    found = {r["id"]: r for r in files.read_csv(spark, str(tmp_path / "csv"), multi_line=True).collect()}
     assert found["1"]["title"] == 'say "hi", twice' and found["1"]["overview"] == "a\nb"
     assert found["2"]["title"] is None and found["2"]["overview"] == "None"
 
@@ -184,10 +184,13 @@ def test_rejects_are_kept_aside(warehouse, raw, tmp_path):
 
 def test_delta_and_purge(spark, warehouse):
     before = warehouse.read(STAGING_TABLE).count()
-    documents = spark.createDataFrame([('{"id": 999999999, "title": "new"}',)], "json string")
-    details, _ = delta.parse_detail_text(documents)
-    for added in (1, 0):
-        assert warehouse.load_delta(details) == added
+    texts = [('{"id": 999999999, "title": "new"}',), ('{"id": 9, "ti',), ('{"id": 8, "budget": null}',)]
+    documents = spark.createDataFrame(texts, "json string")
+    for added, status in ((1, "PARTIAL_SUCCESS"), (0, "FAILED")):
+        assert warehouse.load_delta(documents) == added
+        last = warehouse.read(LOG_TABLE).orderBy(F.desc("log_id")).first()
+        assert (last["rows_processed"], last["rows_failed"], last["status"]) == (added, 2, status)
+    assert warehouse.read(REJECTED_DOCUMENTS).count() == 4
     assert warehouse.read(STAGING_TABLE).count() == before + 1
     assert warehouse.purge() == before
 
@@ -233,6 +236,14 @@ def test_new_ids_once(spark, tmp_path):
     ids = sorted(r["movie_id"] for r in read_loaded(spark, target, STAGING).collect())
     assert ids == [2, 3, 4]
 
+    # a lost checkpoint starts its batches anew, but replaces and repeats nothing
+    checkpoint = str(tmp_path / "another")
+    (landing / "d.json").write_text('{"id": 5, "title": "T5"}\n{"id": 6, "bud\n{"id": 7, "budget": null}\n')
+    assert load_new_ids(spark, str(landing), target, checkpoint, staged, "2001-01-01") == 1
+    ids = sorted(r["movie_id"] for r in read_loaded(spark, target, STAGING).collect())
+    assert ids == [2, 3, 4, 5]
+    assert spark.read.schema("json string").parquet(rejects_of(target)).count() == 2
+
 
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
@@ -250,10 +261,12 @@ def test_drop_stages(spark):
     drop_stages(spark)
     import os
 
-    assert not os.path.exists(f"{scratch_root(spark)}/filmdw")
+    other = f"{scratch_root(spark)}/filmdw/another-application"
+    os.makedirs(other)
+    drop_stages(spark)
+    assert not os.path.exists(stage_root(spark)) and os.path.exists(other)
 
 
-def test_binding_covers_every_order_with_lines(spark):
+def test_binding_covers_every_order(spark):
     rows = staging_from_orders(spark, SF, ())
-    lines = table(spark, SF, "lineitem").select("l_orderkey").distinct()
-    assert rows.count() == lines.count()
+    assert rows.count() == table(spark, SF, "orders").count()
