@@ -74,6 +74,7 @@ def build_fact(
     country_mode: str = "code",
     as_of: str | None = None,
     unique_names: bool = True,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """One row per retained title and genre token.
 
@@ -93,11 +94,11 @@ def build_fact(
     if countries is not None:
         rows = with_country(rows, countries, country_mode)
     if studios is not None:
-        rows = lookup(rows, named_keys(studios, "studio_name", "studio_id"), "studio_name")
+        rows = lookup(rows, named_keys(studios, "studio_name", "studio_id"), "studio_name", broadcast_rows)
     rows = rows.withColumn("genre_name", F.explode(tokens(F.col("genres"))))
     rows = rows.withColumn("genre_name", F.trim("genre_name"))
     if genres is not None:
-        rows = lookup(rows, named_keys(genres, "genre_name", "genre_id"), "genre_name")
+        rows = lookup(rows, named_keys(genres, "genre_name", "genre_id"), "genre_name", broadcast_rows)
     rows = rows.withColumn("created_date", loaded_at(as_of))
     return rows.select(
         *[F.col(f.name).cast(f.dataType) for f in FACT if f.name in rows.columns]

@@ -80,18 +80,26 @@ def fact_rule_counts(
     other rules; a dimension too large for that is checked on its own.
     """
     rules = fact_predicates()
-    flagged, large = fact, {}
+    large = {
+        f"Orphaned {key}": key
+        for key, dim in dims.items()
+        if not fits_broadcast(dim.select(key), broadcast_rows)
+    }
+    # built once, however many dimensions are checked on their own
+    fact = write_stage(fact, "checked-fact") if large else fact
+    flagged = fact
     for key, dim in dims.items():
         name = f"Orphaned {key}"
-        if not fits_broadcast(dim.select(key), broadcast_rows):
-            large[name] = key
+        if name in large:
             continue
         known = dim.select(key).distinct().withColumn(f"_has_{key}", F.lit(True))
         flagged = flagged.join(F.broadcast(known), key, "left")
         rules[name] = F.col(key).isNotNull() & F.col(f"_has_{key}").isNull()
     counts = _count_rules(flagged, FACT_TABLE, rules)
+    if large:
+        counts = write_stage(counts, "rule-counts")
     for name, key in large.items():
-        total = fact.agg(F.count("*").alias("n")).scalar()
+        total = counts.select("total_records").limit(1).scalar()
         lost = orphan_count(fact, dims[key], key).select(
             F.lit(FACT_TABLE).alias("table"),
             F.lit(name).alias("validation_type"),
@@ -132,10 +140,12 @@ def quality_report(
     times: DataFrame,
     studios: DataFrame,
     as_of: str | None = None,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """The 19 rules, from one scan of staging and one of the fact."""
     dims = {"genre_id": genres, "time_id": times, "studio_id": studios}
-    counts = staging_rule_counts(staging, as_of).unionByName(fact_rule_counts(fact, dims))
+    of_fact = fact_rule_counts(fact, dims, broadcast_rows)
+    counts = staging_rule_counts(staging, as_of).unionByName(of_fact)
     return with_status(counts, as_of)
 
 

@@ -203,6 +203,25 @@ PARTS = {
         SELECT "table", r.rule AS validation_type, total_records, r.bad AS invalid_records,
                r.bad * 100.0 / total_records AS pct, r.text AS description
         FROM rules""",
+    "dirty_staging": """
+        SELECT * REPLACE (
+            CASE WHEN movie_id % 61 = 0 THEN NULL ELSE movie_id END AS movie_id,
+            CASE WHEN movie_id % 67 = 0 THEN -1.0 ELSE revenue END AS revenue,
+            CASE WHEN movie_id % 71 = 0 THEN -5.0 ELSE runtime END AS runtime)
+        FROM staging""",
+    "dirty_fact": """
+        SELECT * REPLACE (
+            CASE WHEN movie_id % 59 = 0 THEN genre_id + 100000000 ELSE genre_id END AS genre_id,
+            CASE WHEN movie_id % 61 = 0 THEN NULL WHEN movie_id % 73 = 0 THEN time_id + 100000000
+                 ELSE time_id END AS time_id,
+            CASE WHEN movie_id % 67 = 0 THEN NULL WHEN movie_id % 97 = 0
+                 THEN studio_id + 100000000 ELSE studio_id END AS studio_id,
+            CASE WHEN movie_id % 79 = 0 THEN -1.0 WHEN movie_id % 83 = 0 THEN 0.0
+                 ELSE budget END AS budget,
+            CASE WHEN movie_id % 71 = 0 THEN -1.0 ELSE revenue END AS revenue,
+            CASE WHEN movie_id % 103 = 0 THEN 11.0 ELSE vote_average END AS vote_average,
+            CASE WHEN movie_id % 89 = 0 THEN 5000.0 ELSE roi END AS roi)
+        FROM fact""",
     "first_tokens": """
         SELECT *, CASE WHEN COALESCE(genres, '') = '' THEN 'Unknown'
                        ELSE trim(split_part(genres, '-', 1)) END AS primary_genre,
@@ -274,6 +293,11 @@ PARTS = {
         FROM orders LEFT JOIN film ON movie_id = o_orderkey""",
 }
 
+# the same rules over broken rows
+PARTS["dirty_rules"] = (
+    PARTS["rules"].replace("FROM staging", "FROM dirty_staging").replace("FROM fact", "FROM dirty_fact")
+)
+
 NEEDS = {
     "lines": [],
     "film": ["lines"],
@@ -290,6 +314,9 @@ NEEDS = {
     "model_fact": ["stg", "dim_genre", "dim_time", "dim_studio"],
     "rules": ["staging", "fact"],
     "report": ["rules"],
+    "dirty_staging": ["staging"],
+    "dirty_fact": ["fact"],
+    "dirty_rules": ["dirty_staging", "dirty_fact"],
     "first_tokens": ["staging"],
     "features": ["cleaned"],
     "scored": ["features"],
@@ -375,6 +402,10 @@ FINAL: dict[str, tuple[list[str], str]] = {
         ["fact"],
         "SELECT * REPLACE (ROUND(profit, 2) AS profit, ROUND(roi, 6) AS roi) FROM fact",
     ),
+    "fact_without_broadcasts": (
+        ["fact"],
+        "SELECT * REPLACE (ROUND(profit, 2) AS profit, ROUND(roi, 6) AS roi) FROM fact",
+    ),
     "fact_null_keys": (
         ["fact"],
         """SELECT COUNT(*) AS fact_rows, COUNT(*) - COUNT(genre_id) AS null_genre_id,
@@ -631,6 +662,30 @@ FINAL: dict[str, tuple[list[str], str]] = {
            CASE WHEN pct < 0.5 THEN 'PASS' WHEN pct < 5 THEN 'WARNING' ELSE 'FAIL' END AS status,
            description FROM report""",
     ),
+    "dq_report_dirty": (
+        ["dirty_rules"],
+        """SELECT "table", r.rule AS validation_type, total_records, r.bad AS invalid_records,
+           ROUND(r.bad * 100.0 / total_records, 6) AS invalid_percentage,
+           CASE WHEN r.bad * 100.0 / total_records < 0.5 THEN 'PASS'
+                WHEN r.bad * 100.0 / total_records < 5 THEN 'WARNING' ELSE 'FAIL' END AS status,
+           r.text AS description FROM dirty_rules""",
+    ),
+    "first_match_keys": (
+        [], "SELECT p_type, MIN(p_partkey) AS p_partkey FROM part GROUP BY p_type",
+    ),
+    "strict_dates": ([], "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders"),
+    "csv_round_trip": (
+        ["cleaned"],
+        """SELECT id, NULLIF(title, '') AS title, NULLIF(genres, '') AS genres, release_date, budget,
+           revenue FROM cleaned""",
+    ),
+    "parts_round_trip": (
+        ["film"],
+        """SELECT movie_id, revenue, part FROM (
+             SELECT movie_id, revenue, (LEAST((rn - 1) // (n // 4), 3) + 1)::INT AS part
+             FROM (SELECT movie_id, revenue, row_number() OVER (ORDER BY movie_id) AS rn,
+                   COUNT(*) OVER () AS n FROM film)) WHERE part IN (2, 3)""",
+    ),
     "dq_overall": (
         ["report"],
         """SELECT total_validations, total_records, total_issues,

@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from filmdw.fixed_values import FACT_TABLE, STAGING_TABLE
+from filmdw.functions.dates import strict_date
 from filmdw.functions.text import first_known
 from filmdw.operators import (
     aggregates,
@@ -23,7 +24,7 @@ from filmdw.operators import (
     regression,
     staging as stages,
 )
-from filmdw.operators.lookup import keep_known, keep_unknown, lookup
+from filmdw.operators.lookup import first_match, keep_known, keep_unknown, lookup
 from filmdw.session import run_together, scratch_root, write_stage
 from filmdw.sources.bindings import (
     detail_documents,
@@ -31,6 +32,8 @@ from filmdw.sources.bindings import (
     staging_from_orders,
     table,
 )
+from filmdw.sources.files import read_cleaned_csv, read_part
+from filmdw.sources.writers import write_csv, write_parts
 from filmdw.streaming.incremental import load_new_files, load_new_ids, read_loaded, rejects_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,9 +84,9 @@ class Star:
     countries: DataFrame | None = None
     studios: DataFrame | None = None
 
-    def fact(self) -> DataFrame:
+    def fact(self, **options) -> DataFrame:
         dims = (self.genres, self.times, self.countries, self.studios)
-        return facts.build_fact(self.staging, *dims, as_of=AS_OF)
+        return facts.build_fact(self.staging, *dims, as_of=AS_OF, **options)
 
     def model_stg(self) -> DataFrame:
         return models.stg_movies(self.staging)
@@ -140,6 +143,13 @@ def fact_genre_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows, profit=2, roi=6)
 
 
+@register
+def fact_without_broadcasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fact with every dimension taken as too large to broadcast."""
+    rows = star(spark, sf_dir, *BUILDERS).fact(broadcast_rows=0).drop("created_date")
+    return rounded(rows, profit=2, roi=6)
+
+
 @register
 def fact_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.null_key_counts(star(spark, sf_dir, *CHECKED).fact())
@@ -530,6 +540,75 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows, invalid_percentage=6)
 
 
+@register
+def dq_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules over staging and fact rows broken by remainders of their key, so that every rule has
+    something to find; dimensions are checked without broadcasts."""
+    tables = star(spark, sf_dir, *CHECKED)
+
+    def broken(column: str, *cases: tuple[int, Column | float | None]) -> Column:
+        value = F.col(column)
+        for divisor, other in reversed(cases):
+            bad = other if isinstance(other, Column) else F.lit(other)
+            value = F.when(F.pmod("movie_id", F.lit(divisor)) == 0, bad).otherwise(value)
+        return value.alias(column)
+
+    away = 100_000_000
+    in_staging = {
+        "movie_id": broken("movie_id", (61, None)),
+        "revenue": broken("revenue", (67, -1.0)),
+        "runtime": broken("runtime", (71, -5.0)),
+    }
+    in_fact = {
+        "genre_id": broken("genre_id", (59, F.col("genre_id") + away)),
+        "time_id": broken("time_id", (61, None), (73, F.col("time_id") + away)),
+        "studio_id": broken("studio_id", (67, None), (97, F.col("studio_id") + away)),
+        "budget": broken("budget", (79, -1.0), (83, 0.0)),
+        "revenue": broken("revenue", (71, -1.0)),
+        "vote_average": broken("vote_average", (103, 11.0)),
+        "roi": broken("roi", (89, 5000.0)),
+    }
+    fact = tables.fact()
+    report = quality.quality_report(
+        tables.staging.select(*[in_staging.get(c, F.col(c)) for c in tables.staging.columns]),
+        fact.select(*[in_fact.get(c, F.col(c)) for c in fact.columns]),
+        tables.genres, tables.times, tables.studios, AS_OF, broadcast_rows=0,
+    )
+    return rounded(report.drop("timestamp"), invalid_percentage=6)
+
+
+@register
+def first_match_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest part number of each type."""
+    return first_match(table(spark, sf_dir, "part"), "p_type", "p_partkey")
+
+
+@register
+def strict_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order days from text that must be a date."""
+    text = F.date_format("o_orderdate", "yyyy-MM-dd")
+    return table(spark, sf_dir, "orders").select("o_orderkey", strict_date(text).alias("day"))
+
+
+@register
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned titles written as delimited text and read back."""
+    path = _run_folder(spark, "csv")
+    write_csv(cleaned(spark, sf_dir), path)
+    back = cleaning.typed(read_cleaned_csv(spark, path))
+    return back.select("id", "title", "genres", "release_date", "budget", "revenue")
+
+
+@register
+def parts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional parts written one folder each; the second and third are read back alone."""
+    path = _run_folder(spark, "parts")
+    rows = staging_from_orders(spark, sf_dir, ()).select("movie_id", "revenue")
+    write_parts(stages.split_dataset(rows, ["movie_id"]), path)
+    parts = [read_part(spark, path, n).withColumn("part", F.lit(n)) for n in (2, 3)]
+    return parts[0].unionByName(parts[1])
+
+
 @register
 def dq_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.overall_quality(_report(star(spark, sf_dir, *CHECKED)))
