@@ -39,8 +39,8 @@ REJECT_BELOW = 0.5
 SEED = 11
 UNDETERMINED = "und"
 #: words whose scores a worker keeps before it starts anew
-KEPT_WORDS = 400_000
-SLICE_CHARACTERS = 4_000_000
+KEPT_WORDS = 200_000
+SLICE_CHARACTERS = 1_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _LENGTHS = (2, 3, 4, 5)

@@ -17,10 +17,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import regex
 
-#: characters held in the table of pieces before it starts anew
-KEPT_CHARACTERS = 9_000_000
+#: characters of pieces, and of either generation of pretokens, held in the tables of a worker
+KEPT_CHARACTERS = 2_000_000
 #: characters of text encoded at a time
-SLICE_CHARACTERS = 2_000_000
+SLICE_CHARACTERS = 1_000_000
 
 #: pretokens of the byte-level vocabulary; with word ends, the file has its own pattern
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -65,11 +65,14 @@ class Encoder:
             pattern = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pretokens = regex.compile(pattern).findall
         self.byte_names = dict(enumerate(_byte_names()))
+        # pretokens in use move from the older table to the newer one before it is dropped
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.newer_characters = 0
         self._clear()
 
     def _clear(self):
         self.known: dict = {}
-        self.of_pretoken: dict[str, bytes] = {}
         self.characters = 0
         self.starts = np.zeros(1 << 16, np.int64)
         self.pool = np.zeros(1 << 18, np.uint32)
@@ -112,12 +115,16 @@ class Encoder:
             piece = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
         found = []
         for pretoken in self.pretokens(piece):
-            own = self.of_pretoken.get(pretoken)
+            own = self.newer.get(pretoken)
             if own is None:
-                named = pretoken.encode().decode("latin-1").translate(self.byte_names)
-                own = packed([t.id for t in self.tokenizer.model.tokenize(named)])
-                self.of_pretoken[pretoken] = own
-                self.characters += len(pretoken)
+                own = self.older.get(pretoken)
+                if own is None:
+                    named = pretoken.encode().decode("latin-1").translate(self.byte_names)
+                    own = packed([t.id for t in self.tokenizer.model.tokenize(named)])
+                self.newer[pretoken] = own
+                self.newer_characters += len(pretoken)
+                if self.newer_characters > KEPT_CHARACTERS:
+                    self.newer, self.older, self.newer_characters = {}, self.newer, 0
             found.append(own)
         return b"".join(found)
 
