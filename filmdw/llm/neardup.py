@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from filmdw.llm.hashing import mixed, run_hashes, slices, word_hashes
 from filmdw.session import write_stage
@@ -144,7 +144,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for the nodes of links (p, x): the smallest node reachable.
 
-    Each round takes the smallest label next to a node, then that label's own label.
+    Each round takes the smallest of a node's label, the labels next to it and its label's own label,
+    so distances double from round to round. A round is one written table.
     """
     both = write_stage(
         links.select("p", "x").unionByName(links.select(F.col("x").alias("p"), F.col("p").alias("x"))).distinct(),
@@ -158,17 +159,13 @@ def components(links: DataFrame) -> DataFrame:
     )
     while True:
         near = both.join(labels.withColumnRenamed("node", "x"), "x").groupBy("p").agg(F.min("component").alias("near"))
-        step = labels.join(near.withColumnRenamed("p", "node"), "node").select(
-            "node", "component", F.least("component", "near").alias("least")
-        )
-        step = write_stage(step, "labels")
-        onward = step.select(F.col("node").alias("least"), F.col("least").alias("further"))
-        moved = write_stage(
-            step.join(onward, "least").select("node", F.least("least", "further").alias("component"), F.col("component").alias("before")),
-            "labels",
-        )
-        labels = moved.select("node", "component")
-        if moved.where("component != before").limit(1).count() == 0:
+        onward = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        least = F.least("component", "near", "further")
+        moved = labels.join(near.withColumnRenamed("p", "node"), "node").join(onward, "component")
+        changed = Observation()
+        moved = moved.select("node", least.alias("component"), (least != F.col("component")).alias("moved"))
+        labels = write_stage(moved.observe(changed, F.count_if("moved").alias("n")), "labels").drop("moved")
+        if not changed.get["n"]:
             return labels
 
 
