@@ -34,6 +34,8 @@ MOST_LANGUAGES = 500
 BUCKETS = 1 << 16
 DIMENSIONS = 16
 EPOCHS = 6
+#: a small sample is gone through more often, until so many steps are done
+LEAST_STEPS = 1000
 RATE = 2.0
 REJECT_BELOW = 0.5
 SEED = 11
@@ -114,6 +116,7 @@ def train(
         sums = np.add.reduceat(embeddings[flat], np.cumsum(sizes) - sizes, axis=0)
         return sums / sizes[:, None], flat, sizes
 
+    epochs = max(epochs, -(-LEAST_STEPS // -(-len(fitted) // batch)))
     steps, done = epochs * -(-len(fitted) // batch), 0
     for _ in range(epochs):
         shuffled = random.permutation(fitted)
