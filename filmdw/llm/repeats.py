@@ -11,7 +11,9 @@ document or another. Passes over blocks of documents:
    order by prefix doubling up to the length sought, common prefixes from the ranks). A stack scan
    over the common prefixes yields the intervals of the common-prefix tree; an interval of at least
    LENGTH whose suffixes have different bytes on their left is a maximal repeat, and all its
-   occurrences are covered, not just neighbours.
+   occurrences are covered, not just neighbours. Suffixes that agree as far as they are ordered are
+   covered that far at each of their places, whatever is on their left, so repeats of any length
+   are found whole.
 3. Blocks map what is covered back to every document that holds the segment.
 
 An anchor in more than ``OFTEN`` blocks would bring unbounded segments to one shard (the edges of a
@@ -118,9 +120,17 @@ def _anchors(length: int, gram: int):
 # ---- enhanced suffix array
 
 
+def ordered_bytes(length: int) -> int:
+    """How many bytes order the suffixes: the first doubling of 8 that holds ``length``."""
+    size = 8
+    while size < length:
+        size *= 2
+    return size
+
+
 def suffix_array(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes ordered by their first bytes, at least ``length`` of them; common prefix of each with
-    the one before, up to that many)."""
+    """(suffixes ordered by their first ``ordered_bytes(length)`` bytes; common prefix of each with the
+    one before, up to that many)."""
     n = len(text)
     size, packed_bytes = 8, np.zeros(n, np.uint64)
     padded = np.concatenate([text, np.zeros(size, np.uint8)]).astype(np.uint64)
@@ -159,13 +169,23 @@ def suffix_array(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]
     apart = last[np.minimum(a, n)] ^ last[np.minimum(b, n)]
     for equal in range(1, 8):
         common[1:] += (apart >> np.uint64(64 - 8 * equal)) == 0
-    return order, common
+    return order, np.minimum(common, ordered_bytes(length))
 
 
-def maximal_repeats(text: np.ndarray, order: np.ndarray, common: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+def maximal_repeats(
+    text: np.ndarray, order: np.ndarray, common: np.ndarray, least: int, most: int = 1 << 62
+) -> Iterator[tuple[int, np.ndarray]]:
     """(length, all places) of every repeat of at least ``least`` bytes that cannot be extended to both
-    sides: a stack scan over the common prefixes closes one interval of the tree at a time."""
+    sides: a stack scan over the common prefixes closes one interval of the tree at a time.
+
+    Common prefixes end at ``most``, where the order ends too. What reaches it is yielded first, at all
+    its places: a repeat that starts further left may end before it, so the left tells nothing there.
+    """
     n = len(order)
+    reached = common >= most
+    reached[:-1] |= reached[1:]
+    if reached.any():
+        yield most, order[reached]
     left = np.where(order > 0, text[order - 1].astype(np.int64), -1)
     # whether a byte on the left differs from that of the suffix before, summed, tells of diversity
     differs = np.cumsum(np.concatenate([[0], (left[1:] != left[:-1]) | (left[1:] == 255) | (left[1:] < 0)]))
@@ -176,14 +196,14 @@ def maximal_repeats(text: np.ndarray, order: np.ndarray, common: np.ndarray, lea
         if i != previous + 1 or i == n:  # a smaller common prefix between: every open interval ends
             while stack:
                 depth, start = stack.pop()
-                if differs[previous] > differs[start]:
+                if depth < most and differs[previous] > differs[start]:
                     yield depth, order[start : previous + 1]
         if i == n:
             break
         depth, start = int(common[i]), i - 1
         while stack and stack[-1][0] > depth:
             closed, start = stack.pop()
-            if differs[i - 1] > differs[start]:
+            if closed < most and differs[i - 1] > differs[start]:
                 yield closed, order[start:i]
         if not stack or stack[-1][0] < depth:
             stack.append((depth, start))
@@ -201,7 +221,7 @@ def repeated_in(segments: list[bytes], length: int) -> list[list[tuple[int, int]
     room = np.maximum(starts[owner] + sizes[owner] - order, 0)
     common[1:] = np.minimum(common[1:], np.minimum(room[1:], room[:-1]))
     change = np.zeros(len(text) + 1, np.int64)
-    for depth, places in maximal_repeats(text, order, common, length):
+    for depth, places in maximal_repeats(text, order, common, length, ordered_bytes(length)):
         np.add.at(change, places, 1)
         np.add.at(change, places + depth, -1)
     covered = np.cumsum(change[:-1]) > 0

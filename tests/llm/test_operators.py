@@ -436,3 +436,37 @@ def test_suffix_array_and_its_intervals():
                 if len(at) > 1 and len(left) > 1 and len(right) > 1:
                     expected.add((n, tuple(at)))
         assert got == expected
+
+
+def test_repeats_longer_than_the_suffixes_are_ordered():
+    rng = np.random.default_rng(10)
+    part = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    long, head = part(5000), part(600)
+    # shared by two only, and by two of three that begin alike
+    for segments in (
+        [part(50) + long + part(70), part(90) + long + part(20)],
+        [part(9) + head + long[:300] + part(40), part(8) + head + part(500), part(7) + head + long[:300] + part(50)],
+        [b"x" * 3000, part(30) + b"ab" * 900, b"y" + b"x" * 1500],
+    ):
+        for found, (_, n, gone, spans, _) in zip(repeats.repeated_in(segments, 400), ordered_repeats(segments)):
+            assert (sum(b - a for a, b in found), len(found)) == (gone, spans)
+
+
+def ordered_repeats(segments):
+    rows = {r[0]: r for r in brute.repeat_rows([(i, s.decode()) for i, s in enumerate(segments)])}
+    return [rows[i] for i in range(len(segments))]
+
+
+def numbered_table(n):
+    cells = " ".join(brute.sentence(23, 60))
+    return "".join(f"{i:04d} {cells}\n" for i in range(n))
+
+
+def test_a_long_table_in_different_surroundings(spark):
+    table = numbered_table(16)
+    rows = [(1, " ".join(brute.sentence(31, 90)) + table + " ".join(brute.sentence(32, 70)))]
+    rows += [(2, " ".join(brute.sentence(33, 50)) + table + " ".join(brute.sentence(34, 80)))]
+    segments = repeats.segments_of([table.encode()], repeats.LENGTH, repeats.GRAM)
+    assert max((after - first).max() for *_, first, after in segments) > 3000
+    found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert tuples(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeat_rows(rows)
