@@ -121,10 +121,6 @@ def route(sizes: dict, members: dict, quotas: dict, most: int = MAX_TIMES) -> di
     flows = {}
     for group in _groups(members):
         sources = sorted({s for p in group for s in members[p]}, key=lambda s: (s is None, s or ""))
-        if len(group) == 1 and len(sources) == 1:
-            whole = min(float(quotas[sources[0]]), float(most * sizes[group[0]]))
-            flows[group[0], sources[0]] = whole
-            continue
         net, routed = _Flow(), {}
         for p in group:
             for n in range(most):

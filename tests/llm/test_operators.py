@@ -397,6 +397,44 @@ def test_mix(spark, rows):
     assert mixing.take(docs).columns == docs.columns
 
 
+def test_every_group_goes_through_the_flow(monkeypatch):
+    runs, run = [], mixing._Flow.run
+    monkeypatch.setattr(mixing._Flow, "run", lambda self, *args: runs.append(args) or run(self, *args))
+    members = {"a": ["a"], "b": ["b"], "0": ["c"], "de": ["d", "e"]}
+    flow = mixing.route({"a": 10, "b": 10, "0": 0, "de": 4}, members, {"a": 25.5, "b": 40, "c": 3, "d": 2, "e": 5})
+    assert len(runs) == len(members)
+    assert flow["a", "a"] == pytest.approx(25.5) and flow["b", "b"] == pytest.approx(30) and flow["0", "c"] == 0
+    assert flow["de", "d"] + flow["de", "e"] == pytest.approx(7)
+
+
+def test_mix_of_overlapping_sources(spark):
+    of = {"x": ["x"], "xy": ["y", "x", "y"], "y": ["y"], "z": ["z", None]}
+    rows = [(i, " ".join(brute.sentence(i, 3 + i % 9)), list(of)[i % 4]) for i in range(400)]
+    docs = spark.createDataFrame([(*r, of[r[2]]) for r in rows], "doc_id long, text string, pattern string, of array<string>")
+    weights = lambda names: {s: {"x": 5, "y": 1}.get(s, 2) for s in names}
+    found = mixing.mix(docs, memberships=F.col("of"), weights=weights).collect()
+    assert len(found) == len(rows)
+    sizes, taken, largest, copies = Counter(), Counter(), Counter(), defaultdict(set)
+    for r in found:
+        sizes[r["pattern"]] += r["mix_size"]
+        taken[r["pattern"]] += r["mix_copies"] * r["mix_size"]
+        largest[r["pattern"]] = max(largest[r["pattern"]], r["mix_size"])
+        copies[r["pattern"]].add(r["mix_copies"])
+    half = sizes["xy"] / 2, sizes["z"] / 2
+    targets = mixing.shares({"x": sizes["x"] + half[0], "y": sizes["y"] + half[0], "z": half[1], None: half[1]}, weights("xyz") | {None: 2})
+    for r in found:
+        own = set(of[r["pattern"]])
+        assert r["mix_target"] == pytest.approx(sum(targets[s] for s in own))
+    words = {"x": targets["x"], "y": targets["y"]}
+    # the words of both quotas, of least repetition cost: no pattern is repeated twice before another is once
+    assert abs(taken["x"] + taken["xy"] + taken["y"] - sum(words.values())) <= largest["x"] + largest["xy"] + largest["y"]
+    assert abs(taken["z"] - min(3 * sizes["z"], targets["z"] + targets[None])) <= largest["z"]
+    assert all(max(c) - min(c) <= 1 and max(c) <= 3 for c in copies.values())
+    # within a pattern, those that are taken once more come first in the seeded order
+    again = {r["doc_id"]: r["mix_copies"] for r in mixing.mix(docs.repartition(7), memberships=F.col("of"), weights=weights).collect()}
+    assert again == {r["doc_id"]: r["mix_copies"] for r in found}
+
+
 # ---- 10
 
 
