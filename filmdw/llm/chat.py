@@ -3,7 +3,8 @@
 Prefix sums of turn tokens choose the spans: a turn belongs to the half-budget cell in which its
 prefix sum starts, and a turn above half a budget is a span of its own, so a span never exceeds
 the budget unless a single turn does. Every window after the first repeats the system turn and at
-most ``history`` turns before its span; repeated turns carry no loss.
+most ``history`` turns before its span; repeated turns carry no loss. They come on top of the budget:
+a window holds its span and, beyond that, the tokens of what it repeats.
 
 The template marks a turn as ``<s>[role]`` line feed text ``</s>`` line feed. Inside a text, every
 ``<s>``, ``</s>``, ``[INST]`` and ``[/INST]`` gets a tilde after its first character, and one that

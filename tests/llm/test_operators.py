@@ -130,6 +130,19 @@ def test_chat_windows(spark):
     assert not any(p in plan_of(chat.digests(got)) for p in PYTHON)
 
 
+def test_the_budget_bounds_a_span_and_repeats_come_on_top(spark):
+    turns = [(1, 0, "system", "s" * 984)] + [(1, i, ("assistant", "user")[i % 2], "x" * 1980) for i in range(1, 30)]
+    got = chat.windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    over = 0
+    for w in got.collect():
+        tokens = [-(-(len(p) + 5) // 4) for p in w["formatted"].split("</s>\n")[:-1]]
+        repeated = sum(tokens[: w["n_repeated"]])
+        assert sum(tokens) - repeated <= chat.BUDGET and w["n_repeated"] <= chat.HISTORY + 1
+        assert sum(tokens) <= chat.BUDGET + max(tokens) * chat.HISTORY + 250
+        over += sum(tokens) > chat.BUDGET
+    assert over > 5
+
+
 # ---- 4
 
 
