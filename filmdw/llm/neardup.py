@@ -240,14 +240,14 @@ def near_duplicates(
     classes = (
         signed.where("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("class_id"), F.first("half_keys").alias("half_keys"))
+        .agg(F.min("doc_id").alias("class_id"), F.min("row").alias("row"), F.first("half_keys").alias("half_keys"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = write_stage(classes, "classes")
     members = write_stage(tables(classes, halves), "tables")
     several = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = write_stage(members.join(several, "key"), "tables")
-    wanted = members.select("node").distinct().join(classes.select("node", "class_id", "digest"), "node")
+    wanted = members.select("node").distinct().join(classes.select("node", "row", "digest"), "node")
     texts = write_stage(_texts(docs, wanted, shingle), "candidates")
     _, labels = link_classes(members, texts, shingle, percent)
 
@@ -269,24 +269,23 @@ def near_duplicates(
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(node, text) for the classes wanted: a row of the class's smallest id with the class's set."""
+    """(node, text) for the classes wanted: the row of the class's smallest row hash, with or without an
+    id, if it has the class's set."""
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, at = [], 0
-            digests = batch.column(3)
-            for group in slices((t.as_py().encode() for t in batch.column(2)), len):
+            digests = batch.column(2)
+            for group in slices((t.as_py().encode() for t in batch.column(1)), len):
                 for own in shingle_sets(group, shingle):
                     if set_digest(own) == digests[at].as_py():
                         keep.append(at)
                     at += 1
             chosen = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(i).take(chosen) for i in (0, 1, 2)], ["doc_id", "node", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).take(chosen) for i in (0, 1)], ["node", "text"])
 
-    with_id = docs.where("text IS NOT NULL").join(
-        wanted.withColumnRenamed("class_id", "doc_id"), "doc_id"
-    )
-    checked = with_id.select("doc_id", "node", "text", "digest").mapInArrow(same, "doc_id long, node long, text string")
+    held = docs.where("text IS NOT NULL").select("text", row_hash().alias("row")).join(wanted, "row")
+    checked = held.select("node", "text", "digest").mapInArrow(same, "node long, text string")
     return checked.groupBy("node").agg(F.min("text").alias("text"))
 
 

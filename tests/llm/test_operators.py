@@ -249,6 +249,16 @@ def test_near_duplicates(spark, rows):
     assert left.columns == docs.columns and ids[1] == 1 and not ids[2] and not ids[3] and ids[30] == 2 and ids[31] == 1
 
 
+def test_near_duplicates_without_an_id(spark, rows):
+    near, other = brute.sentence(1, 120), brute.sentence(41, 100)
+    near[90] = "unnamed"
+    more = [(None, " ".join(near)), (None, " ".join(other)), (None, " ".join([*other[:50], "odd", *other[51:]]))]
+    docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+    found = neardup.near_duplicates(docs, shingle=4)
+    assert tuples(found, "doc_id", "n_shingles", "component_id", "kept") == brute.near_rows(rows + more)
+    assert more[0][1] not in {r["text"] for r in neardup.one_of_each(docs).collect()}
+
+
 def test_near_duplicates_of_documents(spark, small):
     found = QUERIES["op6_tensored_minhash"](spark, SF)
     assert tuples(found, "doc_id", "n_shingles", "component_id", "kept") == brute.near_rows(small)
