@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from filmdw.llm import chat, fingerprint, langid, mixing, neardup, orc_tokens, packing, phrases, quality, repeats
+from filmdw.llm import (
+    chat,
+    fingerprint,
+    forest,
+    langid,
+    mixing,
+    neardup,
+    orc_tokens,
+    packing,
+    phrases,
+    quality,
+    repeats,
+    signatures,
+    spelling,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +83,19 @@ def op10_interval_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op11_search_schemes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+def op12_bit_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return signatures.rank_documents(documents(spark, sf_dir), items)
+
+
+def op13_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES = {
     "op1_subword_langid": op1_subword_langid,
     "op2_phrase_automata": op2_phrase_automata,
@@ -80,6 +107,9 @@ QUERIES = {
     "op8_ngram_quality": op8_ngram_quality,
     "op9_flow_mix": op9_flow_mix,
     "op10_interval_tree": op10_interval_tree,
+    "op11_search_schemes": op11_search_schemes,
+    "op12_bit_slices": op12_bit_slices,
+    "op13_prefix_forest": op13_prefix_forest,
 }
 
 _MARKS = r"([<\[])(~*)(/?(?:s>|INST\]))"
@@ -126,4 +156,30 @@ SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_cha
   sha256(loss) AS loss_sha256, formatted_chars FROM joined
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_windows": _OP3}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP12 = f"""
+WITH numbered AS (SELECT row_number() OVER () AS row, doc_id, {_LOWER} AS low FROM documents),
+found AS (SELECT row, doc_id, unnest(regexp_extract_all(low, '{_TERM}')) AS term FROM numbered),
+counted AS (SELECT row, doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+sized AS (SELECT row, sum(tf) AS n FROM counted GROUP BY row),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS occurrences FROM sized),
+items AS (SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM items),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals WHERE term IN (SELECT term FROM asked) GROUP BY term),
+gained AS (
+  SELECT item_id, row, doc_id,
+    w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * CAST(n AS BIGINT) * docs) // occurrences))) AS gain
+  FROM asked JOIN weighed USING (term) JOIN counted USING (term) JOIN sized USING (row), totals),
+scored AS (
+  SELECT item_id, row, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM gained GROUP BY ALL HAVING sum(gain) > 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {signatures.BEST}
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat_windows": _OP3, "op12_bit_slices": _OP12}
