@@ -46,7 +46,7 @@ from filmdw.session import stage_root, write_stage
 
 #: documents and bytes of text in a block, bits a pair in the fullest signature of a block, bits a pair sets
 BLOCK_DOCUMENTS = 4_096
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 BITS_A_PAIR = 12
 HASHES = 4
 LEVELS = 6
@@ -54,6 +54,8 @@ LEVELS = 6
 ITEMS = 512
 ITEM_CHARACTERS = 4_000_000
 BEST = 10
+#: documents of a block, a multiple of 8, whose slices are summed at a time
+PART = 512
 
 _LETTER = [48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123 or b >= 128 for b in range(256)]
 _FOLD = bytes((b + 32 if 65 <= b < 91 else b) if _LETTER[b] else 32 for b in range(256))
@@ -110,8 +112,8 @@ class _Pending:
         self.sizes.append(sum(counts.values()))
         self.bytes += len(text)
         place = self.vocabulary.setdefault
-        self.terms.append(np.array([place(t, len(self.vocabulary)) for t in counts], np.int64))
-        self.often.append(np.fromiter(counts.values(), np.int64, len(counts)))
+        self.terms.append(np.array([place(t, len(self.vocabulary)) for t in counts], np.int32))
+        self.often.append(np.fromiter(counts.values(), np.int32, len(counts)))
 
     def row(self, block: int, width: int) -> dict:
         n = len(self.ids)
@@ -181,7 +183,7 @@ class _Items:
         self.ids = ids
         self.own = [sorted(set(terms_of(t))) for t in texts]
         self.terms = sorted(set().union(*self.own)) if self.own else []
-        place = {t: i for i, t in enumerate(self.terms)}
+        self.known = place = {t: i for i, t in enumerate(self.terms)}
         self.places = [np.array([place[t] for t in own], np.int64) for own in self.own]
 
     def weigh(self, held_by: dict[bytes, int], documents: int, occurrences: int) -> None:
@@ -201,19 +203,27 @@ class _Block:
     def __init__(self, row: dict, items: _Items):
         self.row, self.items = row, items
         self.lengths = items.lengths(np.frombuffer(row["sizes"], np.int64))
-        self.counts: dict[bytes, Counter] = {}
+        self.counts: dict[bytes, dict[bytes, int]] = {}
 
     def bounds(self) -> np.ndarray:
         """(items, documents) no score is above."""
         items, n, width = self.items, self.row["documents"], self.row["width"]
         slices = np.frombuffer(self.row["slices"], np.uint8).reshape(width, -1)
         at = positions(items.terms, width)
+        parts = [
+            self._part_bounds(slices[:, a // 8 : (a + PART) // 8], at, self.lengths[a : a + PART])
+            for a in range(0, n, PART)
+        ]
+        return np.concatenate(parts, axis=1)
+
+    def _part_bounds(self, slices: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        items, n = self.items, len(lengths)
         total = np.zeros((len(items.ids), n))
         before = np.zeros(n, np.int64)
         for level in range(LEVELS):
             most = np.int64((2 << level) - 1)
             # an occurrence more always adds less than what is left to a million
-            gain = _gain(most, self.lengths) if level + 1 < LEVELS else np.full(n, 1_000_000, np.int64)
+            gain = _gain(most, lengths) if level + 1 < LEVELS else np.full(n, 1_000_000, np.int64)
             present = slices[at[level, 0]]
             for i in range(1, HASHES):
                 present = present & slices[at[level, i]]
@@ -236,7 +246,8 @@ class _Block:
         text = self.row["texts"][place]
         counts = self.counts.get(text)
         if counts is None:
-            counts = self.counts[text] = Counter(terms_of(text))
+            found = Counter(terms_of(text))
+            counts = self.counts[text] = {t: n for t, n in found.items() if t in self.items.known}
         length, total = int(self.lengths[place]), 0
         for term, at in zip(self.items.own[item], self.items.places[item].tolist()):
             often = counts.get(term, 0)
