@@ -392,6 +392,55 @@ def _forecast(source: str, key: str = "") -> str:
                    (SELECT unnest(range(2025, 2030)) AS year) h)"""
 
 
+def _changepoints(source: str, count: int, key: str = "") -> str:
+    """Ridge regression on hinges: elimination spelled out, one subquery a pivot."""
+    lead, by = (f"{key}, ", f"PARTITION BY {key}") if key else ("", "")
+    size, penalty = count + 2, (0.1 / 0.3) ** 2
+
+    def hinges(t: str) -> list[str]:
+        return ["1.0", t, *[f"GREATEST({t} - {0.8 * j / count}, 0)" for j in range(1, count + 1)]]
+
+    cells = [(i, j) for i in range(size) for j in range(size)]
+    sums = [f"SUM(x{i} * x{j}) AS g{i}_{j}" for i, j in cells] + [f"SUM(x{i} * y) AS v{i}" for i in range(size)]
+    basis = ", ".join(f"{x} AS x{i}" for i, x in enumerate(hinges("t")))
+    text = f"""SELECT {lead}first, last, COUNT(*) AS n, SUM(y * y) AS yy, {", ".join(sums)}
+        FROM (SELECT *, {basis} FROM (SELECT *, (x - first) / (last - first) AS t FROM (
+          SELECT {lead}year::DOUBLE AS x, total_revenue / 1e9 AS y, MIN(year::DOUBLE) OVER w AS first,
+                 MAX(year::DOUBLE) OVER w AS last
+          FROM {source} WHERE year BETWEEN 1980 AND 2024 WINDOW w AS ({by}))))
+        GROUP BY {lead}first, last"""
+    wide = [(i, j) for i in range(size) for j in range(2 * size)]
+
+    def opened(i: int, j: int) -> str:
+        if j >= size:
+            return "1.0" if j - size == i else "0.0"
+        return f"g{i}_{j} + {penalty}" if i == j and i >= 2 else f"g{i}_{j}"
+
+    text = f"SELECT *, {', '.join(f'{opened(i, j)} AS m{i}_{j}' for i, j in wide)} FROM ({text})"
+    for k in range(size):
+        steps = [
+            f"m{i}_{j} / m{k}_{k} AS m{i}_{j}" if i == k else f"m{i}_{j} - m{i}_{k} * m{k}_{j} / m{k}_{k} AS m{i}_{j}"
+            for i, j in wide
+        ]
+        text = f"SELECT * REPLACE ({', '.join(steps)}) FROM ({text})"
+    weights = [" + ".join(f"m{i}_{j + size} * v{j}" for j in range(size)) + f" AS b{i}" for i in range(size)]
+    text = f"SELECT *, {', '.join(weights)} FROM ({text})"
+    explained = " + ".join(f"b{i} * v{i}" for i in range(size))
+    squares = " + ".join(f"b{i} * b{j} * g{i}_{j}" for i, j in cells)
+    parameters = " + ".join(f"m{i}_{j + size} * g{i}_{j}" for i, j in cells)
+    changes = " + ".join(f"b{i} * b{i}" for i in range(2, size))
+    text = f"""SELECT *, GREATEST(yy - 2 * ({explained}) + {squares}, 0) / (n - ({parameters})) AS noise,
+        ({changes}) / 0.8 AS to_come FROM ({text})"""
+    text = f"""SELECT *, {", ".join(f"{x} AS x{i}" for i, x in enumerate(hinges("t")))} FROM (
+        SELECT *, (year - first) / (last - first) AS t FROM ({text}),
+               (SELECT unnest(range(2025, 2030)) AS year))"""
+    near = " + ".join(f"x{i} * x{j} * m{i}_{j + size}" for i, j in cells)
+    text = f"""SELECT {lead}year, {" + ".join(f"b{i} * x{i}" for i in range(size))} AS p,
+        1.959963984540054 * sqrt(noise * (1 + {near}) + to_come * pow(t - 1, 3) / 3) AS half FROM ({text})"""
+    return f"""SELECT {lead}year::INT AS year, ROUND(p, 6) AS "predicted_revenue_B",
+        ROUND(p - half, 6) AS "lower_bound_B", ROUND(p + half, 6) AS "upper_bound_B" FROM ({text})"""
+
+
 # name -> (building blocks, final SELECT)
 FINAL: dict[str, tuple[list[str], str]] = {
     "dim_genre": (["dim_genre"], "SELECT * FROM dim_genre"),
@@ -679,6 +728,7 @@ FINAL: dict[str, tuple[list[str], str]] = {
         """SELECT id, NULLIF(title, '') AS title, NULLIF(genres, '') AS genres, release_date, budget,
            revenue FROM cleaned""",
     ),
+    "csv_quoted_breaks": ([], "SELECT doc_id, source, NULLIF(text, '') AS text FROM documents"),
     "parts_round_trip": (
         ["film"],
         """SELECT movie_id, revenue, part FROM (
@@ -902,6 +952,8 @@ FINAL: dict[str, tuple[list[str], str]] = {
     ),
     "yearly_forecast": (["yearly"], _forecast("yearly")),
     "segment_forecast": (["segment_years"], _forecast("segment_years", "c_mktsegment")),
+    "changepoint_forecast": (["yearly"], _changepoints("yearly", 3)),
+    "segment_changepoints": (["segment_years"], _changepoints("segment_years", 2, "c_mktsegment")),
     "incremental_events": (
         [],
         """SELECT event_type, COUNT(*) AS events, COUNT(DISTINCT event_id) AS ids,

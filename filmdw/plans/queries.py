@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from filmdw.fixed_values import FACT_TABLE, STAGING_TABLE
 from filmdw.functions.dates import strict_date
@@ -25,7 +26,7 @@ from filmdw.operators import (
     staging as stages,
 )
 from filmdw.operators.lookup import first_match, keep_known, keep_unknown, lookup
-from filmdw.session import run_together, scratch_root, write_stage
+from filmdw.session import conf, run_together, scratch_root, write_stage
 from filmdw.sources.bindings import (
     detail_documents,
     raw_from_orders,
@@ -33,6 +34,7 @@ from filmdw.sources.bindings import (
     table,
 )
 from filmdw.sources.files import read_cleaned_csv, read_part
+from filmdw.sources.quoted_csv import read_quoted_csv
 from filmdw.sources.writers import write_csv, write_parts
 from filmdw.streaming.incremental import load_new_files, load_new_ids, read_loaded, rejects_of
 
@@ -599,6 +601,17 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("id", "title", "genres", "release_date", "budget", "revenue")
 
 
+@register
+def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with line breaks and quotes, written to one delimited file and read in ranges of it."""
+    path = _run_folder(spark, "quoted")
+    kinds = "doc_id string, source string, text string"
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "source", "text").coalesce(1), path)
+    with conf(spark, **{"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "1"}):
+        rows = write_stage(read_quoted_csv(spark, path, StructType.fromDDL(kinds)), "quoted")
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 @register
 def parts_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positional parts written one folder each; the second and third are read back alone."""
@@ -884,6 +897,22 @@ def segment_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_forecast(forecast.trend_forecast(series, ["c_mktsegment"]))
 
 
+@register
+def changepoint_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A trend with three changes of slope in all yearly revenue."""
+    tables = star(spark, sf_dir, "times")
+    rows = aggregates.aggregate_by_year(tables.fact(), tables.times, AS_OF)
+    series = forecast.yearly_series(rows)
+    return _rounded_forecast(forecast.changepoint_forecast(series, changepoints=3))
+
+
+@register
+def segment_changepoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for each customer segment, all fitted in one pass."""
+    series = forecast.yearly_series(segment_yearly_revenue(spark, sf_dir), ["c_mktsegment"])
+    return _rounded_forecast(forecast.changepoint_forecast(series, ["c_mktsegment"], changepoints=2))
+
+
 # Incremental loads
 
 

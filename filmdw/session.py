@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,19 @@ def build_session(app_name: str = "filmdw", master: str | None = None, **conf) -
     return builder.getOrCreate()
 
 
+@contextmanager
+def conf(spark: SparkSession, **settings: str) -> Iterator[None]:
+    """Session settings that hold for what is planned and run inside."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors for tables that cut lineage.
 
