@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from filmdw.fixed_values import FIRST_DATE, LAST_DATE, MAX_BUDGET, MAX_REVENUE, UNKNOWN
 from filmdw.functions.dates import lossy_date
 from filmdw.functions.numbers import both_positive, number, percent, profit, roi
-from filmdw.operators.ranking import exact_median
+from filmdw.operators.quantiles import exact_median
 from filmdw.schemas import CLEANED, RAW_NUMBERS
 
 # Texts the usual reader of delimited files takes for a missing value.

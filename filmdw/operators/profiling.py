@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from filmdw.functions.dates import decade
 from filmdw.functions.numbers import billions, millions, percent
 from filmdw.functions.text import tokens
-from filmdw.operators.ranking import exact_quantiles
+from filmdw.operators.quantiles import exact_quantiles
 from filmdw.sources.constants import constant_rows
 
 

@@ -1,4 +1,4 @@
-"""Global positions, surrogate keys and exact quantiles without a single-task sort.
+"""Global positions and surrogate keys without a single-task sort.
 
 A window without partitions sends every row to one task. Here rows are
 range-partitioned, written once, and numbered from their place inside a
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from filmdw.session import write_stage
 from filmdw.sources.constants import constant_rows
@@ -61,71 +61,3 @@ def number_rows(
 def surrogate_keys(names: DataFrame, order_by: list[str], key: str) -> DataFrame:
     """Number a table of distinct names from 1."""
     return number_rows(names, order_by, key, label=key, unique=True)
-
-
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """(column, prob, value): linear-interpolated quantiles of numeric columns.
-
-    Values are counted before the shuffle, so repeated values cost one row,
-    and the sorted counts stay range-partitioned.
-    """
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value"))
-            for name in columns
-        ]
-    )
-    counts = (
-        df.select(F.explode(pairs).alias("pair"))
-        .select("pair.*")
-        .where("value IS NOT NULL AND NOT isnan(value)")
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    rows = _written_in_order(counts, ["column", "value"], "quantiles").withColumn("_part", _part())
-
-    # at most partitions x columns rows
-    sizes = rows.groupBy("column", "_part").agg(F.sum("n").alias("_rows"))
-    by_column = Window.partitionBy("column").orderBy("_part")
-    offsets = sizes.select(
-        "column",
-        "_part",
-        F.coalesce(
-            F.sum("_rows").over(by_column.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-    )
-    position = (F.col("total") - 1) * F.col("prob")
-    targets = (
-        sizes.groupBy("column")
-        .agg(F.sum("_rows").alias("total"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .select("column", "prob", position.alias("_at"), F.floor(position).alias("_low"))
-    )
-
-    inside = Window.partitionBy("column", "_part").orderBy("value")
-    last = F.col("_before") + F.sum("n").over(inside) - 1
-    spans = rows.join(F.broadcast(offsets), ["column", "_part"]).select(
-        "column", "value", (last - F.col("n") + 1).alias("_first"), last.alias("_last")
-    )
-    low = F.col("_low").between(F.col("_first"), F.col("_last"))
-    high = F.ceil("_at").between(F.col("_first"), F.col("_last"))
-    return (
-        spans.join(F.broadcast(targets), "column")
-        .where(low | high)
-        .groupBy("column", "prob")
-        .agg(
-            F.max(F.when(low, F.col("value"))).alias("_v0"),
-            F.max(F.when(high, F.col("value"))).alias("_v1"),
-            F.first(F.col("_at") - F.col("_low")).alias("_part_of_step"),
-        )
-        .select(
-            "column",
-            "prob",
-            (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_part_of_step")).alias("value"),
-        )
-    )
-
-
-def exact_median(df: DataFrame, column: str) -> Column:
-    """The median as a scalar subquery."""
-    return exact_quantiles(df.select(column), [column], [0.5]).select("value").scalar()

@@ -14,7 +14,8 @@ from filmdw.functions.status import performance
 from filmdw.functions.text import primary_token
 from filmdw.operators.lookup import lookup
 from filmdw.operators.profiling import most_frequent, value_counts
-from filmdw.operators.ranking import exact_median, number_rows
+from filmdw.operators.quantiles import exact_median
+from filmdw.operators.ranking import number_rows
 from filmdw.session import run_together, write_stage
 from filmdw.sources.constants import constant_rows
 

@@ -13,7 +13,8 @@ from filmdw.fixed_values import FEATURES
 from filmdw.functions import dates, numbers, status, text
 from filmdw.operators import cleaning, delta, forecast, profiling, quality, regression, staging
 from filmdw.operators.lookup import fits_broadcast, keep_known, keep_unknown, lookup
-from filmdw.operators.ranking import exact_quantiles, number_rows
+from filmdw.operators.quantiles import exact_quantiles
+from filmdw.operators.ranking import number_rows
 from filmdw.schemas import DETAIL
 from filmdw.sources.constants import constant_rows
 
