@@ -13,6 +13,16 @@ WHITE_SPACE = (
 )
 
 
+#: case and trailing blanks do not count, as in a database that compares text so
+CASELESS = "UTF8_LCASE_RTRIM"
+
+
+def collated(column: Column | str, collation: str | None) -> Column:
+    """The text compared, grouped and joined under a collation; as it is without one."""
+    column = F.col(column) if isinstance(column, str) else column
+    return column if collation is None else F.collate(column, collation)
+
+
 def tokens(value: Column, trim: bool = False) -> Column:
     """List elements of a delimited string; blank elements stay."""
     parts = F.split(value, LIST_DELIMITER)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from filmdw.fixed_values import OTHER_REGION, UNKNOWN, UNKNOWN_COUNTRY_CODE
 from filmdw.functions.dates import calendar, loaded_at
-from filmdw.functions.text import is_known, studio_size, tokens
+from filmdw.functions.text import collated, is_known, studio_size, tokens
 from filmdw.operators.ranking import surrogate_keys
 from filmdw.schemas import DIM_COUNTRY, DIM_GENRE, DIM_STUDIO, DIM_TIME
 from filmdw.sources.constants import constant_rows, language_countries
@@ -18,20 +18,32 @@ def _shaped(df: DataFrame, schema, as_of: str | None) -> DataFrame:
     return stamped.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
 
-def _list_names(staging: DataFrame, column: str, name: str) -> DataFrame:
-    """Distinct trimmed, non-blank elements of a list column."""
-    return (
+def _list_names(staging: DataFrame, column: str, name: str, collation: str | None = None) -> DataFrame:
+    """Distinct trimmed, non-blank elements of a list column; of the spellings that are equal under a
+    collation the first in binary order stands for all."""
+    names = (
         staging.select(F.explode(tokens(F.col(column))).alias(name))
         .select(F.trim(name).alias(name))
         .where(F.col(name) != "")
-        .distinct()
     )
+    if collation is None:
+        return names.distinct()
+    return names.groupBy(collated(name, collation).alias("_folded")).agg(F.min(name).alias(name))
 
 
-def build_dim_genre(staging: DataFrame, as_of: str | None = None) -> DataFrame:
+def _keyed(names: DataFrame, order_by: list[str], key: str, collation: str | None) -> DataFrame:
+    """Numbered in name order, which under a collation is that of its rules."""
+    if collation is None:
+        return surrogate_keys(names, order_by, key)
+    return surrogate_keys(names, [*order_by[:-1], "_folded"], key).drop("_folded")
+
+
+def build_dim_genre(
+    staging: DataFrame, as_of: str | None = None, collation: str | None = None
+) -> DataFrame:
     """Genres in name order; ``Unknown`` is one of them if it occurs."""
-    names = _list_names(staging, "genres", "genre_name")
-    return _shaped(surrogate_keys(names, ["genre_name"], "genre_id"), DIM_GENRE, as_of)
+    names = _list_names(staging, "genres", "genre_name", collation)
+    return _shaped(_keyed(names, ["genre_name"], "genre_id", collation), DIM_GENRE, as_of)
 
 
 def build_dim_time(staging: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -77,16 +89,17 @@ def build_dim_country(staging: DataFrame, as_of: str | None = None) -> DataFrame
     return _shaped(keyed, DIM_COUNTRY, as_of)
 
 
-def build_dim_studio(staging: DataFrame, as_of: str | None = None) -> DataFrame:
+def build_dim_studio(
+    staging: DataFrame, as_of: str | None = None, collation: str | None = None
+) -> DataFrame:
     """Unknown first, then every known studio in name order, with a size class."""
     name = F.col("studio_name")
-    studios = (
-        _list_names(staging, "production_companies", "studio_name")
-        .where(is_known(name))
-        .select(F.lit(1).alias("_group"), name, studio_size(name).alias("studio_size"))
-    )
+    studios = _list_names(staging, "production_companies", "studio_name", collation).where(is_known(collated(name, collation)))
+    studios = studios.withColumns({"_group": F.lit(1), "studio_size": studio_size(name)})
     seed = constant_rows(
         staging.sparkSession, ["_group", "studio_name", "studio_size"], [(0, UNKNOWN, UNKNOWN)]
     )
-    keyed = surrogate_keys(seed.unionByName(studios), ["_group", "studio_name"], "studio_id")
+    if collation is not None:
+        seed = seed.withColumn("_folded", collated("studio_name", collation))
+    keyed = _keyed(seed.unionByName(studios), ["_group", "studio_name"], "studio_id", collation)
     return _shaped(keyed, DIM_STUDIO, as_of)

@@ -43,10 +43,13 @@ def with_country_code(rows: DataFrame, mode: str = "code") -> DataFrame:
     return joined.withColumn("country_code", F.coalesce("country_code", F.upper(language)))
 
 
-def with_country(rows: DataFrame, countries: DataFrame, mode: str = "code") -> DataFrame:
+def with_country(
+    rows: DataFrame, countries: DataFrame, mode: str = "code", collation: str | None = None
+) -> DataFrame:
     """Add ``country_id``; a language without a country takes the Unknown one."""
     coded = with_country_code(rows, mode)
-    joined = lookup(coded, countries.select("country_code", "country_id"), "country_code")
+    codes = countries.select("country_code", "country_id")
+    joined = lookup(coded, codes, "country_code", collation=collation)
     unknown = countries.where(F.col("country_code") == UNKNOWN_COUNTRY_CODE).agg(
         F.min("country_id").alias("country_id")
     )
@@ -75,6 +78,7 @@ def build_fact(
     as_of: str | None = None,
     unique_names: bool = True,
     broadcast_rows: int | None = None,
+    collation: str | None = None,
 ) -> DataFrame:
     """One row per retained title and genre token.
 
@@ -82,23 +86,27 @@ def build_fact(
     given is not looked up and its key is absent, for callers that need the
     grain and only some keys. The title-grain keys are looked up before the
     tokens multiply the rows. Dimensions that may repeat a name
-    (``unique_names=False``) give the lowest key of the name.
+    (``unique_names=False``) give the lowest key of the name. Under a ``collation`` names and country
+    codes match by its rules; dimensions built under the same one have each name once.
     """
 
     def named_keys(dim: DataFrame, name: str, key: str) -> DataFrame:
-        return dim.select(name, key) if unique_names else first_match(dim, name, key)
+        return dim.select(name, key) if unique_names else first_match(dim, name, key, collation)
+
+    def found(rows: DataFrame, dim: DataFrame, name: str, key: str) -> DataFrame:
+        return lookup(rows, named_keys(dim, name, key), name, broadcast_rows, collation=collation)
 
     rows = retained(staging).select(*_CARRIED, "genres", "release_date", "studio_name")
     if times is not None:
         rows = calendar_lookup(rows, times, "release_date")
     if countries is not None:
-        rows = with_country(rows, countries, country_mode)
+        rows = with_country(rows, countries, country_mode, collation)
     if studios is not None:
-        rows = lookup(rows, named_keys(studios, "studio_name", "studio_id"), "studio_name", broadcast_rows)
+        rows = found(rows, studios, "studio_name", "studio_id")
     rows = rows.withColumn("genre_name", F.explode(tokens(F.col("genres"))))
     rows = rows.withColumn("genre_name", F.trim("genre_name"))
     if genres is not None:
-        rows = lookup(rows, named_keys(genres, "genre_name", "genre_id"), "genre_name", broadcast_rows)
+        rows = found(rows, genres, "genre_name", "genre_id")
     rows = rows.withColumn("created_date", loaded_at(as_of))
     return rows.select(
         *[F.col(f.name).cast(f.dataType) for f in FACT if f.name in rows.columns]

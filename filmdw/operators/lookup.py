@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from filmdw.functions.text import collated
 from filmdw.session import write_stage
 
 # A key table is broadcast up to this many rows and characters of text, which
@@ -17,7 +18,7 @@ HOT_SHARE = 1000
 def fits_broadcast(keys: DataFrame, broadcast_rows: int | None = None) -> bool:
     """Whether a table is small enough to broadcast, by its rows and its text."""
     limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    text = [F.length(name) for name, kind in keys.dtypes if kind == "string"]
+    text = [F.length(name) for name, kind in keys.dtypes if kind.startswith("string")]
     characters = [F.coalesce(F.sum(part), F.lit(0)) for part in text]
     size = keys.agg(F.count("*"), *characters).first()
     return size[0] <= limit and sum(size[1:]) <= BROADCAST_CHARACTERS
@@ -29,14 +30,21 @@ def lookup(
     key: str,
     broadcast_rows: int | None = None,
     hot_share: int = HOT_SHARE,
+    collation: str | None = None,
 ) -> DataFrame:
     """Left join of ``left`` to ``keys`` on ``key``; every left row is kept once
     per match.
 
     A small table is broadcast, which shuffles nothing. A larger one is joined
     in two ways: the rows of hot keys, and those without a key, meet a broadcast
-    of the hot entries; the others, none of them hot, are shuffled.
+    of the hot entries; the others, none of them hot, are shuffled. Under a ``collation`` keys match that
+    are equal by its rules; ``left`` keeps its own spelling.
     """
+    if collation is not None:
+        others = [c for c in keys.columns if c != key]
+        folded = keys.select(collated(key, collation).alias("_folded"), *others)
+        rows = left.withColumn("_folded", collated(key, collation))
+        return lookup(rows, folded, "_folded", broadcast_rows, hot_share).drop("_folded")
     if fits_broadcast(keys, broadcast_rows):
         return left.join(F.broadcast(keys), key, "left")
 
@@ -84,6 +92,10 @@ def keep_known(left: DataFrame, keys: DataFrame, key: str, **limits) -> DataFram
     return joined.where(F.col("_known")).drop("_known").select(*left.columns)
 
 
-def first_match(keys: DataFrame, name: str, key: str) -> DataFrame:
-    """One row per name, with its lowest key."""
-    return keys.where(F.col(name).isNotNull()).groupBy(name).agg(F.min(key).alias(key))
+def first_match(keys: DataFrame, name: str, key: str, collation: str | None = None) -> DataFrame:
+    """One row per name, with its lowest key; of the spellings of a name the first in binary order stays."""
+    given = keys.where(F.col(name).isNotNull())
+    if collation is None:
+        return given.groupBy(name).agg(F.min(key).alias(key))
+    groups = given.groupBy(collated(name, collation).alias("_folded"))
+    return groups.agg(F.min(name).alias(name), F.min(key).alias(key)).drop("_folded")

@@ -8,6 +8,7 @@ from filmdw.fixed_values import FACT_TABLE, QUALITY_RULES, STAGING_TABLE
 from filmdw.functions.dates import loaded_at
 from filmdw.functions.numbers import both_positive, percent
 from filmdw.functions.status import job_status, overall_grade, rule_status
+from filmdw.functions.text import collated
 from filmdw.operators.lookup import fits_broadcast, keep_known
 from filmdw.session import write_stage
 
@@ -205,11 +206,17 @@ def failing_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def failing_unique(df: DataFrame, column: str) -> DataFrame:
-    """Values, NULL aside, that occur more than once."""
+def failing_unique(df: DataFrame, column: str, collation: str | None = None) -> DataFrame:
+    """Values, NULL aside, that occur more than once; under a collation the first of the spellings that
+    are equal by its rules stands for all."""
     given = df.where(F.col(column).isNotNull())
-    counts = given.groupBy(column).agg(F.count("*").alias("n_records"))
-    return counts.where(F.col("n_records") > 1).withColumnRenamed(column, "unique_field")
+    if collation is None:
+        counts = given.groupBy(F.col(column).alias("unique_field")).agg(F.count("*").alias("n_records"))
+    else:
+        groups = given.groupBy(collated(column, collation).alias("_folded"))
+        named = groups.agg(F.min(column).alias("unique_field"), F.count("*").alias("n_records"))
+        counts = named.drop("_folded")
+    return counts.where(F.col("n_records") > 1)
 
 
 def not_null_results(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
@@ -227,9 +234,11 @@ def not_null_results(df: DataFrame, table: str, columns: list[str]) -> DataFrame
     )
 
 
-def unique_result(df: DataFrame, table: str, column: str) -> DataFrame:
+def unique_result(
+    df: DataFrame, table: str, column: str, collation: str | None = None
+) -> DataFrame:
     """The same columns for one unique test."""
-    failures = failing_unique(df, column).agg(F.count("*").alias("failures"))
+    failures = failing_unique(df, column, collation).agg(F.count("*").alias("failures"))
     return failures.select(
         F.lit(table).alias("table"),
         F.lit(column).alias("column"),

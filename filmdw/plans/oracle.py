@@ -123,6 +123,26 @@ PARTS = {
         LEFT JOIN dim_time t ON t.full_date = k.release_date
         LEFT JOIN dim_country c ON c.country_code = upper(k.original_language)
         LEFT JOIN dim_studio d ON d.studio_name = k.first_studio""",
+    "respelled": """
+        SELECT * REPLACE (
+          CASE WHEN movie_id % 3 = 0 THEN lower(genres) WHEN movie_id % 3 = 1 THEN upper(genres)
+               ELSE genres END AS genres,
+          CASE WHEN movie_id % 4 = 0 THEN lower(production_companies)
+               ELSE production_companies END AS production_companies,
+          CASE WHEN movie_id % 5 = 0 THEN original_language || '  ' ELSE original_language END
+            AS original_language)
+        FROM staging""",
+    "caseless_genre": """
+        SELECT row_number() OVER (ORDER BY folded) AS genre_id, genre_name, folded
+        FROM (SELECT lower(trim(t)) AS folded, MIN(trim(t)) AS genre_name
+              FROM (SELECT unnest(string_split(genres, '-')) AS t FROM respelled)
+              WHERE trim(t) <> '' GROUP BY 1)""",
+    "caseless_studio": """
+        SELECT row_number() OVER (ORDER BY grp, folded) AS studio_id, folded
+        FROM (SELECT 0 AS grp, 'unknown' AS folded UNION ALL
+              SELECT DISTINCT 1, lower(trim(t))
+              FROM (SELECT unnest(string_split(production_companies, '-')) AS t FROM respelled)
+              WHERE trim(t) <> '' AND lower(trim(t)) <> 'unknown')""",
     "stg": """
         SELECT movie_id, title, genres, original_language, '' AS overview, popularity,
                production_companies, release_date, budget, revenue,
@@ -310,6 +330,9 @@ NEEDS = {
     "dim_studio": ["staging"],
     "known": ["staging"],
     "fact": ["known", "dim_genre", "dim_time", "dim_country", "dim_studio"],
+    "respelled": ["staging"],
+    "caseless_genre": ["respelled"],
+    "caseless_studio": ["respelled"],
     "stg": ["staging"],
     "model_fact": ["stg", "dim_genre", "dim_time", "dim_studio"],
     "rules": ["staging", "fact"],
@@ -728,6 +751,30 @@ FINAL: dict[str, tuple[list[str], str]] = {
         """SELECT id, NULLIF(title, '') AS title, NULLIF(genres, '') AS genres, release_date, budget,
            revenue FROM cleaned""",
     ),
+    "fact_caseless": (
+        ["caseless_genre", "caseless_studio", "dim_country"],
+        """SELECT k.movie_id, g.genre_id, d.studio_id, COALESCE(c.country_id,
+                    (SELECT country_id FROM dim_country WHERE country_code = 'UNK')) AS country_id
+           FROM (SELECT *, unnest(string_split(genres, '-')) AS token FROM (
+                   SELECT *, list_filter(list_transform(string_split(production_companies, '-'),
+                       lambda x: trim(x)), lambda x: x <> '' AND x <> 'Unknown')[1] AS studio
+                   FROM respelled)
+                 WHERE studio IS NOT NULL AND release_date IS NOT NULL
+                   AND budget > 0 AND revenue > 0) k
+           LEFT JOIN caseless_genre g ON g.folded = lower(trim(k.token))
+           LEFT JOIN caseless_studio d ON d.folded = lower(k.studio)
+           LEFT JOIN dim_country c ON c.country_code = rtrim(upper(k.original_language))""",
+    ),
+    "dim_genre_caseless": (["caseless_genre"], "SELECT genre_id, genre_name FROM caseless_genre"),
+    "dq_unique_caseless": (
+        [],
+        """SELECT MIN(name) AS unique_field, COUNT(*) AS n_records
+           FROM (SELECT p_type AS name FROM part UNION ALL
+                 SELECT lower(p_type) || ' ' FROM part WHERE p_partkey % 2 = 0 UNION ALL
+                 SELECT c_name FROM customer UNION ALL
+                 SELECT lower(c_name) || '  ' FROM customer WHERE c_custkey % 10 = 0)
+           GROUP BY lower(rtrim(name)) HAVING COUNT(*) > 1""",
+    ),
     "csv_quoted_breaks": ([], "SELECT doc_id, source, NULLIF(text, '') AS text FROM documents"),
     "parts_round_trip": (
         ["film"],

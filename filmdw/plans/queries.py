@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from filmdw.fixed_values import FACT_TABLE, STAGING_TABLE
 from filmdw.functions.dates import strict_date
-from filmdw.functions.text import first_known
+from filmdw.functions.text import CASELESS, first_known
 from filmdw.operators import (
     aggregates,
     cleaning,
@@ -152,6 +152,60 @@ def fact_without_broadcasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows, profit=2, roi=6)
 
 
+def respelled(staging: DataFrame) -> DataFrame:
+    """Names in several cases and languages with trailing blanks."""
+    turn, genres, studios = F.col("movie_id"), F.col("genres"), F.col("production_companies")
+    third = F.pmod(turn, F.lit(3))
+    language = F.col("original_language")
+    return staging.withColumns(
+        {
+            "genres": F.when(third == 0, F.lower(genres)).when(third == 1, F.upper(genres)).otherwise(genres),
+            "production_companies": F.when(F.pmod(turn, F.lit(4)) == 0, F.lower(studios)).otherwise(studios),
+            "original_language": F.when(
+                F.pmod(turn, F.lit(5)) == 0, F.concat(language, F.lit("  "))
+            ).otherwise(language),
+        }
+    )
+
+
+@register
+def fact_caseless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of titles whose names differ from the dimensions' in case and trailing blanks only."""
+    staging = write_stage(staging_from_orders(spark, sf_dir), "staging")
+    varied = write_stage(respelled(staging), "respelled")
+    genres, countries, studios = run_together(
+        spark,
+        lambda: dimensions.build_dim_genre(varied, AS_OF, CASELESS),
+        lambda: dimensions.build_dim_country(staging, AS_OF),
+        lambda: dimensions.build_dim_studio(varied, AS_OF, CASELESS),
+    )
+    rows = facts.build_fact(varied, genres, None, countries, studios, as_of=AS_OF, collation=CASELESS)
+    return rows.select("movie_id", "genre_id", "studio_id", "country_id")
+
+
+@register
+def dim_genre_caseless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genres once each, whatever their case; the first spelling in binary order names one."""
+    varied = respelled(staging_from_orders(spark, sf_dir))
+    return dimensions.build_dim_genre(varied, AS_OF, CASELESS).drop("created_date")
+
+
+@register
+def dq_unique_caseless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that occur more than once when case and trailing blanks do not count."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_type").alias("name"), F.col("p_partkey").alias("turn"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), F.col("c_custkey").alias("turn")
+    )
+
+    def lower(rows: DataFrame, every: int, blanks: str) -> DataFrame:
+        again = rows.where(F.pmod("turn", F.lit(every)) == 0)
+        return again.withColumn("name", F.concat(F.lower("name"), F.lit(blanks)))
+
+    rows = parts.unionByName(lower(parts, 2, " ")).unionByName(customers)
+    return quality.failing_unique(rows.unionByName(lower(customers, 10, "  ")), "name", CASELESS)
+
+
 @register
 def fact_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.null_key_counts(star(spark, sf_dir, *CHECKED).fact())
