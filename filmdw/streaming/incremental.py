@@ -15,9 +15,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from filmdw.functions.status import load_status
-from filmdw.operators.delta import delta_load, parse_detail_text, parse_details
+from filmdw.operators.delta import one_row_per_id, parse_detail_text, parse_details
+from filmdw.operators.lookup import keep_unknown
+from filmdw.operators.staging import append_sources
 from filmdw.schemas import RUN_LOG, STAGING
-from filmdw.session import write_stage
+from filmdw.session import conf, write_stage
+
+#: keeps the ids of a stream on the executors' disks, not in their heaps
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _file_stream(
@@ -32,9 +37,15 @@ def _run_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+def _other_runs(spark: SparkSession, target: str) -> list[str]:
+    """Folders of the target that streams with other checkpoints wrote."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    paths = [status.getPath() for status in files.listStatus(place)]
+    own = f"run={_run_id(spark)}"
+    return [p.toString() for p in paths if p.getName().startswith("run=") and p.getName() != own]
 
 
 def _write_batch(rows: DataFrame, target: str, batch_id: int) -> int:
@@ -103,6 +114,10 @@ def read_loaded(spark: SparkSession, target: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(target).select(*schema.names)
 
 
+def _loaded_ids(spark: SparkSession, run: str) -> DataFrame:
+    return spark.read.schema(f"{STAGING.toDDL()}, batch_id int").parquet(run).select("movie_id")
+
+
 def rejects_of(target: str) -> str:
     """Folder of the documents that a load into ``target`` could not read, as JSON text."""
     return f"{target.rstrip('/')}-rejects"
@@ -120,39 +135,47 @@ def load_new_ids(
 ) -> int:
     """Load detail documents whose id is neither staged nor loaded before.
 
-    Repeats inside a batch are reduced to one row. A replayed batch does not
-    see its own first attempt, which it overwrites. Documents that cannot be
-    read go to ``rejects_of(target)`` and are logged as failed.
+    The ids seen are the keyed state of the stream, kept with its checkpoint, so a batch reads no batch
+    that was loaded before; what it costs follows its own documents. Only what streams with other
+    checkpoints wrote to ``target`` is read. A replayed batch starts from the state before it and
+    overwrites its own first attempt. Repeats inside a batch are reduced to one row. Documents that
+    cannot be read go to ``rejects_of(target)`` and are logged as failed; their ids are not seen.
     """
 
-    def unseen(rows: DataFrame, batch_id: int) -> DataFrame:
-        known = spark.createDataFrame([], "movie_id bigint") if staged is None else staged
-        known = known.select("movie_id")
-        if _exists(spark, target):
-            before = spark.read.schema(f"{STAGING.toDDL()}, run string, batch_id int").parquet(target)
-            own = (F.col("run") == _run_id(spark)) & (F.col("batch_id") >= batch_id)
-            known = known.unionByName(before.where(~own).select("movie_id"))
-        return delta_load(known, rows, dedupe=True)
+    def fresh(parsed: DataFrame, ids: DataFrame) -> DataFrame:
+        rows = one_row_per_id(parsed)
+        rows = rows.join(ids, "movie_id", "left_semi").unionByName(rows.where("movie_id IS NULL"))
+        known = [staged.select("movie_id")] if staged is not None else []
+        known += [_loaded_ids(spark, path) for path in _other_runs(spark, target)]
+        return keep_unknown(rows, append_sources(*known), "movie_id") if known else rows
 
     added = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
         start = datetime.now(timezone.utc)
-        texts = write_stage(batch.withColumnRenamed("value", "json"), "landed")
-        good, bad = parse_detail_text(texts)
+        batch = write_stage(batch, "landed")
+        good, bad = parse_detail_text(batch.where("movie_id IS NULL").select("json"))
         failed = _write_batch(bad, rejects_of(target), batch_id)
         parsed = write_stage(parse_details(good, as_of), "parsed")
-        rows = _write_batch(unseen(parsed, batch_id), target, batch_id)
+        new = batch.select("movie_id").where("movie_id IS NOT NULL")
+        rows = _write_batch(fresh(parsed, new), target, batch_id)
         added.append(rows)
         if log_path:
             _log_batch(spark, log_path, "Delta_Load", start, rows, batch_id, failed)
 
-    stream = _file_stream(spark, landing, None, "text", options)
-    query = (
-        stream.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    texts = _file_stream(spark, landing, None, "text", options).withColumnRenamed("value", "json")
+    # the state holds ids only; a batch carries its documents and, beside them, the ids not seen before
+    seen = parse_detail_text(texts)[0].select(F.col("id").alias("movie_id")).where("movie_id IS NOT NULL")
+    new_ids = seen.dropDuplicates(["movie_id"])
+    stream = texts.withColumn("movie_id", F.lit(None).cast("bigint")).unionByName(
+        new_ids.withColumn("json", F.lit(None).cast("string"))
     )
-    query.awaitTermination()
+    with conf(spark, **{"spark.sql.streaming.stateStore.providerClass": STATE_STORE}):
+        query = (
+            stream.writeStream.foreachBatch(load)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return sum(added)

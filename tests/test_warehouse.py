@@ -245,6 +245,31 @@ def test_new_ids_once(spark, tmp_path):
     assert spark.read.schema("json string").parquet(rejects_of(target)).count() == 2
 
 
+def test_a_batch_reads_no_earlier_batch(spark, tmp_path):
+    landing, target, checkpoint = tmp_path / "landing", str(tmp_path / "target"), str(tmp_path / "check")
+    landing.mkdir()
+
+    def land(name, lines):
+        (landing / name).write_text("".join(f"{line}\n" for line in lines))
+        return load_new_ids(spark, str(landing), target, checkpoint, None, "2001-01-01")
+
+    titled = lambda i, title: f'{{"id": {i}, "title": "{title}"}}'
+    assert land("a.json", [titled(1, "b"), titled(1, "a"), titled(2, "x"), '{"title": "no id"}']) == 3
+    for part in (tmp_path / "target").rglob("*.parquet"):
+        part.write_bytes(b"not to be read")
+    # ids of documents put aside are not seen, repeats of loaded ids are
+    assert land("b.json", [titled(2, "y"), titled(3, "z"), '{"id": 4, "budget": null}']) == 1
+    assert land("c.json", [titled(4, "w"), titled(3, "v"), titled(1, "u")]) == 1
+    assert land("d.json", []) == 0
+    runs = [p for p in (tmp_path / "target").iterdir() if p.name.startswith("run=")]
+    assert len(runs) == 1
+    later = [str(p) for p in runs[0].iterdir() if p.name != "batch_id=0"]
+    rows = spark.read.schema(STAGING).parquet(*later).select("movie_id", "title").collect()
+    assert sorted(map(tuple, rows)) == [(3, "z"), (4, "w")]
+    state = json.loads(sorted((tmp_path / "check" / "offsets").glob("[0-9]*"))[-1].read_text().split("\n")[1])
+    assert "RocksDB" in state["conf"]["spark.sql.streaming.stateStore.providerClass"]
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
 
