@@ -113,11 +113,6 @@ def build_fact(
     )
 
 
-def with_row_key(df: DataFrame, key: str) -> DataFrame:
-    """Add a unique key in write order, for use right before a write."""
-    return df.select((F.monotonically_increasing_id() + 1).alias(key), *df.columns)
-
-
 def top_revenue(fact: DataFrame, genres: DataFrame, times: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` fact rows with most revenue; a title shows once per genre."""
     # only n rows need their labels, so the limit comes before the joins

@@ -7,16 +7,15 @@ partition plus the number of rows in the partitions before it.
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from filmdw.session import write_stage
-from filmdw.sources.constants import constant_rows
 
 # monotonically_increasing_id keeps the partition above bit 33 and the place below
 _PLACE_BITS = 33
 _PLACE_MASK = (1 << _PLACE_BITS) - 1
+# partitions whose rows are summed together first
+_GROUP = 1000
 
 
 def _written_in_order(df: DataFrame, order_by: list[str], label: str) -> DataFrame:
@@ -28,6 +27,43 @@ def _part() -> Column:
     return F.shiftright("_slot", _PLACE_BITS)
 
 
+def _offsets(rows: DataFrame) -> DataFrame:
+    """(_part, _before): rows before each partition, a running sum in two steps.
+
+    The sum inside a thousand partitions is theirs alone; over them runs one row for each thousand.
+    """
+    sizes = rows.groupBy(_part().alias("_part")).agg(F.count("*").alias("_rows"))
+    sizes = sizes.withColumn("_group", F.floor(F.col("_part") / _GROUP))
+    before = lambda rows, window: F.coalesce(
+        F.sum(rows).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    groups = sizes.groupBy("_group").agg(F.sum("_rows").alias("_rows"))
+    groups = groups.select("_group", before("_rows", Window.partitionBy(F.lit(0)).orderBy("_group")).alias("_start"))
+    inside = before("_rows", Window.partitionBy("_group").orderBy("_part"))
+    placed = sizes.withColumn("_inside", inside).join(F.broadcast(groups), "_group")
+    return placed.select("_part", (F.col("_start") + F.col("_inside")).alias("_before"))
+
+
+def _placed(rows: DataFrame) -> tuple[DataFrame, Column]:
+    """The written rows joined with what is before their partition, and their position from 0.
+
+    The broadcast has two numbers for each partition.
+    """
+    joined = rows.withColumn("_part", _part()).join(F.broadcast(_offsets(rows)), "_part")
+    return joined, F.col("_slot").bitwiseAND(_PLACE_MASK) + F.col("_before")
+
+
+def dense_keys(df: DataFrame, key: str, after: Column | int = 0, label: str = "keyed") -> DataFrame:
+    """Add ``key``: the whole numbers from ``after`` + 1 on, without gaps, in the order of partitions.
+
+    The rows are written first, so that a task that is run again sees the places it saw before.
+    """
+    columns = df.columns
+    rows, place = _placed(write_stage(df.withColumn("_slot", F.monotonically_increasing_id()), label))
+    start = F.lit(after) if isinstance(after, int) else after
+    return rows.select((place + start + 1).cast("bigint").alias(key), *columns)
+
+
 def number_rows(
     df: DataFrame, order_by: list[str], out: str, label: str, start: int = 1, unique: bool = False
 ) -> DataFrame:
@@ -42,20 +78,8 @@ def number_rows(
     if not unique:
         df = write_stage(df.withColumn("_input", F.monotonically_increasing_id()), label)
         order_by = [*order_by, "_input"]
-    rows = _written_in_order(df, order_by, label)
-    place = F.col("_slot").bitwiseAND(_PLACE_MASK) + start
-    # one pair per partition reaches the driver, however many rows there are
-    sizes = rows.groupBy(_part().alias("_part")).agg(F.count("*").alias("_rows")).collect()
-    ends = list(accumulate(row["_rows"] for row in sorted(sizes, key=lambda r: r["_part"])))
-    if len(ends) > 1:
-        offsets = constant_rows(
-            df.sparkSession,
-            ["_part", "_before"],
-            list(zip(sorted(row["_part"] for row in sizes), [0, *ends])),
-        )
-        rows = rows.withColumn("_part", _part()).join(F.broadcast(offsets), "_part")
-        place = place + F.col("_before")
-    return rows.select(place.cast("bigint").alias(out), *columns)
+    rows, place = _placed(_written_in_order(df, order_by, label))
+    return rows.select((place + start).cast("bigint").alias(out), *columns)
 
 
 def surrogate_keys(names: DataFrame, order_by: list[str], key: str) -> DataFrame:

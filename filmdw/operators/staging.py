@@ -92,7 +92,7 @@ def purge_report(staging: DataFrame) -> DataFrame:
 def split_dataset(rows: DataFrame, order_by: list[str], parts: int = DATASET_PARTS) -> DataFrame:
     """Add ``chunk_id``: equal positional parts, the remainder in the last one."""
     placed = number_rows(rows, order_by, "_row", label="split", start=0)
-    size = F.floor(F.lit(placed.count()) / parts)
+    size = F.floor(placed.agg(F.count("*")).scalar() / parts)
     # with fewer rows than parts all rows are in the last part
     chunk = F.when(size == 0, parts - 1).otherwise(
         F.least(F.floor(F.try_divide(F.col("_row"), size)), F.lit(parts - 1))

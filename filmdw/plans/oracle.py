@@ -751,6 +751,97 @@ FINAL: dict[str, tuple[list[str], str]] = {
         """SELECT id, NULLIF(title, '') AS title, NULLIF(genres, '') AS genres, release_date, budget,
            revenue FROM cleaned""",
     ),
+    "warehouse_rebuild": (
+        ["fact", "by_genre", "yearly", "report"],
+        """SELECT table_name, n AS rows, CASE WHEN table_name <> 'quality_report' THEN n END AS last_key
+           FROM (SELECT 'staging_movies' AS table_name, COUNT(*) AS n FROM staging
+                 UNION ALL SELECT 'dim_genre', COUNT(*) FROM dim_genre
+                 UNION ALL SELECT 'dim_time', COUNT(*) FROM dim_time
+                 UNION ALL SELECT 'dim_country', COUNT(*) FROM dim_country
+                 UNION ALL SELECT 'dim_studio', COUNT(*) FROM dim_studio
+                 UNION ALL SELECT 'fact_movies', COUNT(*) FROM fact
+                 UNION ALL SELECT 'agg_genre_performance', COUNT(*) FROM by_genre
+                 UNION ALL SELECT 'agg_yearly_trends', COUNT(*) FROM yearly
+                 UNION ALL SELECT 'quality_report', COUNT(*) FROM report
+                 UNION ALL SELECT 'etl_log', 4)""",
+    ),
+    "run_log": (
+        ["fact", "by_genre", "yearly", "report"],
+        """SELECT log_id::BIGINT AS log_id, job_name, rows_processed::BIGINT AS rows_processed,
+             rows_failed::BIGINT AS rows_failed,
+             CASE WHEN log_id < 4 THEN 'SUCCESS' WHEN pct < 0.5 THEN
+               CASE WHEN rows_failed = 0 THEN 'SUCCESS' ELSE 'PARTIAL_SUCCESS' END
+               WHEN pct < 5 THEN 'SUCCESS_WITH_WARNINGS' ELSE 'FAILED' END AS outcome,
+             TRUE AS timed
+           FROM (SELECT *, rows_failed * 100.0 / rows_processed AS pct FROM (
+             SELECT 1 AS log_id, 'Load_Dimensions' AS job_name, (SELECT COUNT(*) FROM dim_genre)
+                      + (SELECT COUNT(*) FROM dim_time) + (SELECT COUNT(*) FROM dim_country)
+                      + (SELECT COUNT(*) FROM dim_studio) AS rows_processed, 0 AS rows_failed
+             UNION ALL SELECT 2, 'Load_Fact', (SELECT COUNT(*) FROM fact), 0
+             UNION ALL SELECT 3, 'Load_Aggregations',
+                      (SELECT COUNT(*) FROM by_genre) + (SELECT COUNT(*) FROM yearly), 0
+             UNION ALL SELECT 4, 'Data_Quality_Validation',
+                      (SELECT COUNT(*) FROM staging) + (SELECT COUNT(*) FROM fact),
+                      (SELECT SUM(invalid_records)::BIGINT FROM report)))""",
+    ),
+    "warehouse_parts": (
+        ["staging"],
+        """SELECT CASE WHEN again THEN 5 ELSE part END::BIGINT AS log_id, 'CSV_chunk_' || part AS source,
+             CASE WHEN again THEN 'SKIPPED' ELSE 'PARTIAL_SUCCESS' END AS status,
+             CASE WHEN again THEN 0 ELSE good END::BIGINT AS rows_processed,
+             CASE WHEN again THEN 0 ELSE bad END::BIGINT AS rows_failed,
+             good AS staged, bad AS aside
+           FROM (SELECT 1 + movie_id % 4 AS part,
+                   COUNT(*) FILTER (roi IS NOT NULL AND release_date IS NOT NULL) AS good,
+                   COUNT(*) FILTER (roi IS NULL OR release_date IS NULL) AS bad
+                 FROM staging GROUP BY 1), (VALUES (FALSE), (TRUE)) AS turns(again)
+           WHERE part = 1 OR NOT again""",
+    ),
+    "staging_keys": (
+        ["film"],
+        """SELECT load, n AS rows, n AS keys, (last - n + 1)::BIGINT AS first_key,
+             last::BIGINT AS last_key
+           FROM (SELECT load, n, SUM(n) OVER (ORDER BY load) AS last FROM (
+             SELECT GREATEST(right(source, 1)::INT, 2) AS load, COUNT(*) AS n FROM film GROUP BY 1))""",
+    ),
+    "dense_fact_keys": (
+        [],
+        """SELECT COUNT(*) AS rows, COUNT(*) AS keys, 101::BIGINT AS first_key,
+             100 + COUNT(*) AS last_key FROM lineitem""",
+    ),
+    "warehouse_generations": (
+        ["film"],
+        """SELECT state, complete, 1::BIGINT AS current, COUNT(*) AS rows,
+             ROUND(SUM(revenue), 2) AS revenue
+           FROM film, (VALUES ('before', 2::BIGINT), ('after', 1::BIGINT)) AS s(state, complete)
+           WHERE revenue >= 200000 GROUP BY state, complete""",
+    ),
+    "model_tables": (
+        ["model_agg"],
+        """SELECT 'stg_movies' AS model, COUNT(*) AS rows FROM stg
+           UNION ALL SELECT 'model_dim_genre', COUNT(*) FROM dim_genre WHERE genre_name <> 'Unknown'
+           UNION ALL SELECT 'model_fact_movies', COUNT(*) FROM model_fact
+           UNION ALL SELECT 'model_agg_by_genre', COUNT(*) FROM model_agg""",
+    ),
+    "purge_partitions": (
+        ["film"],
+        """SELECT source, COUNT(*) AS rows, ROUND(SUM(revenue), 2) AS revenue FROM (
+             SELECT source, revenue FROM film WHERE source <> 'CSV_chunk_4' OR revenue > 0
+             UNION ALL SELECT NULL, 0.0 FROM nation) GROUP BY source""",
+    ),
+    "publish_round_trip": (["film"], "SELECT movie_id, title, revenue FROM film"),
+    "schema_report": (
+        ["cleaned"],
+        """SELECT 'text' AS "table", problem, COUNT(*) AS rows FROM cleaned,
+             (VALUES ('missing profit'), ('not numeric budget'), ('not numeric roi')) AS p(problem)
+           GROUP BY problem
+           UNION ALL
+           SELECT 'customer', 'missing ' || name, COUNT(*) FROM customer,
+             (VALUES ('id'), ('genres'), ('budget'), ('revenue'), ('vote_average'), ('vote_count'),
+                     ('release_date'), ('production_companies'), ('profit'), ('roi')) AS p(name)
+           GROUP BY name""",
+    ),
+    "profile_head": ([], "SELECT n_nationkey, n_name FROM nation LIMIT 5"),
     "fact_caseless": (
         ["caseless_genre", "caseless_studio", "dim_country"],
         """SELECT k.movie_id, g.genre_id, d.studio_id, COALESCE(c.country_id,

@@ -26,6 +26,7 @@ from filmdw.operators import (
     staging as stages,
 )
 from filmdw.operators.lookup import first_match, keep_known, keep_unknown, lookup
+from filmdw.plans import warehouse_queries
 from filmdw.session import conf, run_together, scratch_root, write_stage
 from filmdw.sources.bindings import (
     detail_documents,
@@ -1025,3 +1026,6 @@ def delta_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.unionByName(aside.select(why.alias("outcome"))).groupBy("outcome").agg(
         F.count("*").alias("documents")
     )
+
+
+QUERIES.update(warehouse_queries.QUERIES)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -20,8 +21,9 @@ from filmdw.operators.dimensions import (
     build_dim_studio,
     build_dim_time,
 )
-from filmdw.operators.fact import build_fact, with_row_key
+from filmdw.operators.fact import build_fact
 from filmdw.operators.quality import overall_quality, quality_report
+from filmdw.operators.ranking import dense_keys
 from filmdw.operators.staging import (
     load_once,
     part_source,
@@ -62,7 +64,8 @@ class Warehouse:
 
     def replace(self, table: str, df: DataFrame) -> int:
         """Full rebuild of a table; returns the rows written."""
-        path = f"{self.root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
+        # names of generations sort by the time they were begun
+        path = f"{self.root.rstrip('/')}/{table}/{time.time_ns():020d}-{uuid.uuid4().hex}"
         written = Observation()
         df.observe(written, F.count("*").alias("rows")).write.parquet(path)
         if self.exists(table):
@@ -72,6 +75,36 @@ class Warehouse:
             self.spark.catalog.createTable(self.name(table), path, "parquet")
         return written.get["rows"]
 
+    def generations(self, table: str) -> DataFrame:
+        """(generation, complete, current) of a table, oldest first: the folders written for it, whether
+        their write ended, and which one the table is pointed at."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{table}")
+        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        held = files.listStatus(place) if files.exists(place) else []
+        details = self.spark.sql(f"DESCRIBE FORMATTED {self.name(table)}") if self.exists(table) else None
+        at = details.where("col_name = 'Location'").first()["data_type"] if details is not None else ""
+        done = lambda path: files.exists(self.spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+        rows = [
+            (s.getPath().getName(), done(s.getPath()), s.getPath().getName() == at.rstrip("/").rsplit("/", 1)[-1])
+            for s in held
+        ]
+        return self.spark.createDataFrame(sorted(rows), "generation string, complete boolean, current boolean")
+
+    def drop_generations(self, table: str, keep: int = 1) -> int:
+        """Delete all but the last ``keep`` generations up to the current one; returns how many went.
+
+        Call it when no reader holds an older one. What was begun after the current one, a write that
+        goes on or was broken off, stays until a later one is current.
+        """
+        rows = self.generations(table).collect()
+        current = max((r["generation"] for r in rows if r["current"]), default="")
+        whole = [r["generation"] for r in rows if r["complete"] and r["generation"] <= current]
+        gone = [r["generation"] for r in rows if r["generation"] < current and r["generation"] not in whole[-keep:]]
+        for name in gone:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{table}/{name}")
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        return len(gone)
+
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to a table; returns how many."""
         written = Observation()
@@ -99,7 +132,7 @@ class Warehouse:
 
     def stage_full(self, rows: DataFrame) -> int:
         """Replace staging by one full load."""
-        return self.replace(STAGING_TABLE, with_row_key(rows, "staging_id"))
+        return self.replace(STAGING_TABLE, dense_keys(rows, "staging_id"))
 
     def stage_batch(self, rows: DataFrame) -> int:
         """Append a tagged batch unless its source tag is staged already."""
@@ -152,9 +185,9 @@ class Warehouse:
     def _keyed_after(
         self, rows: DataFrame, table: str = STAGING_TABLE, key: str = "staging_id"
     ) -> DataFrame:
-        """Add a key that continues after the last one of the table."""
-        last = self.read(table).agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-        return with_row_key(rows, key).withColumn(key, F.col(key) + last)
+        """Add a key that continues after the last one of the table, without gaps."""
+        last = self.read(table).agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+        return dense_keys(rows, key, last)
 
     def purge(self) -> int:
         """Keep part loads only; returns the rows that are left."""
@@ -172,9 +205,9 @@ class Warehouse:
         status: str,
         error: str | None = None,
     ) -> None:
-        row = (0, job, start, end, processed, failed, status, error, end)
-        rows = self.spark.createDataFrame([row], RUN_LOG).drop("log_id")
-        self.append(LOG_TABLE, self._keyed_after(rows, LOG_TABLE, "log_id"))
+        last = self.read(LOG_TABLE).agg(F.coalesce(F.max("log_id"), F.lit(0))).first()[0]
+        row = (last + 1, job, start, end, processed, failed, status, error, end)
+        self.append(LOG_TABLE, self.spark.createDataFrame([row], RUN_LOG))
 
     def run(self, job: str, work: Callable[[], int]) -> int:
         """Run one stage and log it; a failure is logged as FAILED and raised."""
@@ -202,15 +235,15 @@ class Warehouse:
     def load_fact(self, as_of: str | None = None, country_mode: str = "code") -> int:
         dims = [self.read(n) for n in ("Dim_Genre", "Dim_Time", "Dim_Country", "Dim_Studio")]
         fact = build_fact(self.read(STAGING_TABLE), *dims, country_mode=country_mode, as_of=as_of)
-        return self.replace(FACT_TABLE, with_row_key(fact, "fact_id"))
+        return self.replace(FACT_TABLE, dense_keys(fact, "fact_id"))
 
     def load_aggregates(self, as_of: str | None = None) -> int:
         fact = self.read(FACT_TABLE)
         by_genre = aggregate_by_genre(fact, self.read("Dim_Genre"), as_of)
         by_year = aggregate_by_year(fact, self.read("Dim_Time"), as_of)
         return self.replace(
-            "Agg_Genre_Performance", with_row_key(by_genre, "agg_id")
-        ) + self.replace("Agg_Yearly_Trends", with_row_key(by_year, "agg_id"))
+            "Agg_Genre_Performance", dense_keys(by_genre, "agg_id")
+        ) + self.replace("Agg_Yearly_Trends", dense_keys(by_year, "agg_id"))
 
     def validate(self, as_of: str | None = None) -> DataFrame:
         """Write the quality report, log the grade, and return the overall row."""
