@@ -63,7 +63,7 @@ def regression_features(cleaned: DataFrame, key: str = "id") -> DataFrame:
         rows.sparkSession,
         lambda: label_codes(rows, "primary_genre", "genre_encoded"),
         lambda: write_stage(frequencies(rows, "primary_studio", "studio_freq"), "studios"),
-        lambda: exact_median(rows, "runtime"),
+        lambda: _median_if_missing(rows, "runtime"),
     )
     coded = lookup(lookup(rows, codes, "primary_genre"), studios, "primary_studio")
     filled = coded.withColumn("runtime", F.coalesce("runtime", median))
@@ -72,6 +72,13 @@ def regression_features(cleaned: DataFrame, key: str = "id") -> DataFrame:
     return filled.where(F.col("revenue") > 0)
 
 
+def _median_if_missing(rows: DataFrame, column: str) -> Column:
+    """The median, which is looked for only if a value is missing."""
+    if rows.where(F.col(column).isNull()).isEmpty():
+        return F.lit(None).cast("double")
+    return exact_median(rows, column)
+
+
 def _hash_text(key: str) -> Column:
     return F.md5(F.col(key).cast("string"))
 

@@ -464,6 +464,45 @@ def _changepoints(source: str, count: int, key: str = "") -> str:
         ROUND(p - half, 6) AS "lower_bound_B", ROUND(p + half, 6) AS "upper_bound_B" FROM ({text})"""
 
 
+_FITTED = [
+    "budget", "runtime", "popularity", "vote_average", "vote_count", "release_year", "release_month",
+    "genre_encoded", "studio_freq",
+]
+
+
+def _least_squares(rows: str) -> str:
+    """(grp, c0.., intercept): regression of y on the features for each grp of ``rows``, by elimination of
+    the sums of products of standardised features, one subquery a pivot."""
+    size = range(len(_FITTED))
+    stats = [f"AVG({c}) AS m{i}, STDDEV_POP({c}) AS s{i}" for i, c in enumerate(_FITTED)]
+    text = f"SELECT grp, AVG(y) AS my, {', '.join(stats)} FROM ({rows}) GROUP BY grp"
+    scaled = ", ".join(f"({c} - m{i}) / s{i} AS z{i}" for i, c in enumerate(_FITTED))
+    sums = [f"SUM(z{i} * z{j}) AS a{i}_{j}" for i in size for j in size]
+    sums += [f"SUM(z{i} * (y - my)) AS a{i}_{len(_FITTED)}" for i in size]
+    kept = ", ".join(f"any_value(m{i}) AS m{i}, any_value(s{i}) AS s{i}" for i in size)
+    text = f"""SELECT grp, any_value(my) AS my, {kept}, {", ".join(sums)}
+        FROM (SELECT *, {scaled} FROM ({rows}) JOIN ({text}) USING (grp)) GROUP BY grp"""
+    for k in size:
+        steps = []
+        for i in size:
+            for j in range(len(_FITTED) + 1):
+                new = f"a{i}_{j} / a{k}_{k}" if i == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k}"
+                steps.append(f"{new} AS a{i}_{j}")
+        text = f"SELECT * REPLACE ({', '.join(steps)}) FROM ({text})"
+    slopes = [f"a{i}_{len(_FITTED)} / s{i}" for i in size]
+    intercept = " - ".join(["my", *(f"{slope} * m{i}" for i, slope in enumerate(slopes))])
+    named = ", ".join(f"{slope} AS c{i}" for i, slope in enumerate(slopes))
+    return f"SELECT grp, {named}, {intercept} AS intercept FROM ({text})"
+
+
+_PREDICTED = " + ".join(["intercept", *(f"c{i} * {c}" for i, c in enumerate(_FITTED))])
+_PAID = "SELECT *, revenue AS y FROM features WHERE revenue > 0"
+_TRAIN = f"""SELECT *, 0 AS grp FROM ({_PAID})
+    WHERE substr(md5(CAST(id AS VARCHAR)), 1, 8) >= '33333333'"""
+_DIGITS = "substr(md5(CAST(id AS VARCHAR)), 9, 8)"
+_FOLDED = f"""SELECT *, ({" + ".join(f"({_DIGITS} >= '{x * 8}')::INT" for x in "369c")}) AS fold
+    FROM ({_PAID})"""
+
 # name -> (building blocks, final SELECT)
 FINAL: dict[str, tuple[list[str], str]] = {
     "dim_genre": (["dim_genre"], "SELECT * FROM dim_genre"),
@@ -1070,6 +1109,34 @@ FINAL: dict[str, tuple[list[str], str]] = {
            1 - SUM(prediction_error * prediction_error) / (VAR_POP(revenue) * COUNT(*)) > 0.6
              AS on_target FROM scored GROUP BY split""",
     ),
+    "linear_regression": (
+        ["features"],
+        f"""SELECT split, COUNT(*) AS rows,
+              ROUND(1 - SUM(e * e) / (VAR_POP(y) * COUNT(*)), 6) AS r2, ROUND(AVG(abs(e)), 2) AS mae,
+              ROUND(sqrt(AVG(e * e)), 2) AS rmse,
+              1 - SUM(e * e) / (VAR_POP(y) * COUNT(*)) > 0.6 AS on_target
+            FROM (SELECT y, y - ({_PREDICTED}) AS e,
+                    CASE WHEN substr(md5(CAST(id AS VARCHAR)), 1, 8) < '33333333' THEN 'test'
+                         ELSE 'train' END AS split
+                  FROM ({_PAID}), ({_least_squares(_TRAIN)})) GROUP BY split""",
+    ),
+    "coefficient_ranking": (
+        ["features"],
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, ROUND(c{i}, 4) AS coefficient FROM fit" for i, c in enumerate(_FITTED)
+        ).join([f"SELECT * FROM (WITH fit AS ({_least_squares(_TRAIN)}) ", ")"]),
+    ),
+    "cross_validation": (
+        ["features"],
+        f"""SELECT * FROM (WITH folded AS ({_FOLDED}), fits AS ({_least_squares(
+              "SELECT f.*, g.grp FROM folded f JOIN (SELECT unnest(range(5)) AS grp) g ON f.fold <> g.grp")}),
+            scores AS (
+              SELECT fold, COUNT(*) AS rows, 1 - SUM(e * e) / (VAR_POP(y) * COUNT(*)) AS r2
+              FROM (SELECT fold, y, y - ({_PREDICTED}) AS e FROM folded JOIN fits ON grp = fold)
+              GROUP BY fold)
+            SELECT fold, rows, ROUND(r2, 6) AS r2, ROUND(AVG(r2) OVER (), 6) AS mean_r2,
+              ROUND(STDDEV_POP(r2) OVER (), 6) AS std_r2 FROM scores)""",
+    ),
     "best_and_worst": (
         ["scored"],
         """SELECT id, title, revenue, ROUND(predicted_revenue, 2) AS predicted_revenue,

@@ -893,13 +893,14 @@ def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, regression.Lin
 def linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of the fitted model on both splits."""
     rows, rule = _fitted(spark, sf_dir)
-    return regression.split_metrics(regression.score(rows, rule))
+    metrics = regression.split_metrics(regression.score(rows, rule))
+    return rounded(metrics, r2=6, mae=2, rmse=2)
 
 
 @register
 def coefficient_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rule = _fitted(spark, sf_dir)
-    return regression.coefficient_ranking(spark, rule)
+    return rounded(regression.coefficient_ranking(spark, rule), coefficient=4)
 
 
 @register
@@ -907,12 +908,13 @@ def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = write_stage(regression.with_fold(_features(spark, sf_dir)), "folds")
     scores = regression.cross_validation(rows)
     summary = regression.fold_summary(scores)
-    return scores.select("fold", "rows", "r2").withColumns(
+    rows = scores.select("fold", "rows", "r2").withColumns(
         {
             "mean_r2": summary.select("mean_r2").scalar(),
             "std_r2": summary.select("std_r2").scalar(),
         }
     )
+    return rounded(rows, r2=6, mean_r2=6, std_r2=6)
 
 
 # Forecast
