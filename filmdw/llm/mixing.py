@@ -11,8 +11,9 @@ seeded order is cut by two histograms of 4096 bins and one last bin, so nothing
 whole, and the plan is one threshold per pattern: documents are never joined or shuffled.
 
 Defined results: a null text has size 0 and takes 0 words; a null source is a source of its own
-and comes last; rows with equal id and text share their fate; without rows the result is empty.
-Columns of the input other than those named are left alone.
+and comes last; of rows with equal id and text as many are taken once more as the target has room
+for, no matter which; texts are read whole; without rows the result is empty. Other columns of the
+input are left alone, whatever their names, but ``mix_...`` columns are replaced.
 """
 
 from __future__ import annotations
@@ -140,15 +141,18 @@ def _keyed(docs: DataFrame, doc_id: str, text: str, memberships: Column, seed: i
         F.to_json(F.array_sort(F.array_distinct(memberships))).alias("_pattern"),
         word_count(F.col(text)).alias("_size"),
         F.shiftrightunsigned(order, 1).alias("_order"),
+        # tells equal rows apart; the rows are written before it is used
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), 1).alias("_tie"),
     ]
 
 
-def _cuts(rows: DataFrame, extra: DataFrame) -> DataFrame:
-    """(_pattern, _cut): the last place in the seeded order that is taken once more."""
+def _edge(rows: DataFrame, place: str) -> DataFrame:
+    """(_pattern, place, _words, _to, _extra): the places near the ``_extra`` words of a pattern, each with
+    its words and those up to it, from the bin that holds the last of them."""
     first, second = ORDER_BITS - BIN_BITS, ORDER_BITS - 2 * BIN_BITS
-    rows = rows.join(F.broadcast(extra), "_pattern").where("_extra > 0")
+    rows = rows.where("_extra > 0")
     for bits in (first, second):
-        bins = rows.groupBy("_pattern", F.shiftright("_order", bits).alias("_bin")).agg(
+        bins = rows.groupBy("_pattern", F.shiftright(place, bits).alias("_bin")).agg(
             F.sum("_size").alias("_words"), F.first("_extra").alias("_extra")
         )
         before = Window.partitionBy("_pattern").orderBy("_bin")
@@ -158,24 +162,45 @@ def _cuts(rows: DataFrame, extra: DataFrame) -> DataFrame:
             .select("_pattern", "_bin", (F.col("_extra") - F.col("_to") + F.col("_words")).alias("_rest"))
         )
         rows = (
-            rows.withColumn("_bin", F.shiftright("_order", bits))
+            rows.withColumn("_bin", F.shiftright(place, bits))
             .join(F.broadcast(edge), ["_pattern", "_bin"])
-            .select("_pattern", "_order", "_size", F.col("_rest").alias("_extra"))
+            .select("_pattern", place, "_size", F.col("_rest").alias("_extra"))
         )
-    each = rows.groupBy("_pattern", "_order").agg(
+    each = rows.groupBy("_pattern", place).agg(
         F.sum("_size").alias("_words"), F.first("_extra").alias("_extra")
     )
-    order = Window.partitionBy("_pattern").orderBy("_order")
-    near = each.withColumn("_to", F.sum("_words").over(order)).withColumn(
-        "_taken", F.col("_to") - F.col("_words") / 2 <= F.col("_extra")
+    order = Window.partitionBy("_pattern").orderBy(place)
+    return each.withColumn("_to", F.sum("_words").over(order))
+
+
+def _last(place: str, taken: Column) -> Column:
+    """The last place that is taken: at least the one before the last bin, as earlier bins are taken whole."""
+    return F.coalesce(F.max(F.when(taken, F.col(place))), F.min(place) - 1)
+
+
+def _cuts(rows: DataFrame, extra: DataFrame) -> DataFrame:
+    """(_pattern, _cut, _next, _tie_cut): places up to ``_cut`` are taken once more, and of the rows at
+    ``_next``, the first that does not fit whole, those up to ``_tie_cut``."""
+    rows = rows.join(F.broadcast(extra), "_pattern")
+    over = F.struct(F.col("_order").alias("place"), (F.col("_extra") - F.col("_to") + F.col("_words")).alias("left"))
+    cuts = _edge(rows, "_order").groupBy("_pattern").agg(
+        _last("_order", F.col("_to") <= F.col("_extra")).alias("_cut"),
+        F.min(F.when(F.col("_to") > F.col("_extra"), over)).alias("_over"),
     )
-    # at least the place before the last bin, so that all earlier bins are taken
-    return near.groupBy("_pattern").agg(
-        F.coalesce(F.max(F.when(F.col("_taken"), F.col("_order"))), F.min("_order") - 1).alias("_cut")
+    cuts = write_stage(cuts.select("_pattern", "_cut", F.col("_over.place").alias("_next"), "_over.left"), "mix-cuts")
+    ties = (
+        rows.drop("_extra")
+        .join(F.broadcast(cuts.where("_next IS NOT NULL")), "_pattern")
+        .where("_order = _next")
+        .select("_pattern", "_tie", "_size", F.col("left").alias("_extra"))
     )
+    tie_cuts = _edge(ties, "_tie").groupBy("_pattern").agg(
+        _last("_tie", F.col("_to") - F.col("_words") / 2 <= F.col("_extra")).alias("_tie_cut")
+    )
+    return cuts.drop("left").join(F.broadcast(tie_cuts), "_pattern", "left")
 
 
-def mix(
+def _mixed(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -184,17 +209,12 @@ def mix(
     most: int = MAX_TIMES,
     seed: int = SEED,
 ) -> DataFrame:
-    """``docs`` with mix_size, mix_copies (0 to ``most``), mix_source_size and mix_target.
-
-    ``memberships`` is an array of the sources of a document, which may overlap; by default its
-    ``source``. ``weights`` gives the weight of each source from their sorted list. mix_source_size
-    and mix_target sum over the sources of a document.
-    """
+    """(_doc, mix_size, mix_copies, mix_source_size, mix_target), the columns of ``docs`` in one."""
     spark = docs.sparkSession
     memberships = F.array(F.col("source")) if memberships is None else memberships
     weights = weights or (lambda names: {s: 1 + i % 3 for i, s in enumerate(names)})
     keys = _keyed(docs, doc_id, text, memberships, seed)
-    rows = write_stage(docs.select(*keys), "mix")
+    rows = write_stage(docs.select(F.struct("*").alias("_doc"), *keys), "mix")
     stats = rows.groupBy("_pattern").agg(F.sum("_size").alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(stats) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -222,20 +242,30 @@ def mix(
     table = _small(spark, plan)
     cuts = _cuts(rows, table.select("_pattern", "_extra"))
     table = write_stage(table.join(cuts, "_pattern", "left"), "mix-plan")
-    once_more = (F.col("_order") <= F.coalesce("_cut", F.lit(-1))).cast("int")
-    return (
-        docs.select("*", *keys)
-        .join(F.broadcast(table), "_pattern")
-        .select(
-            *[docs[c] for c in docs.columns],
-            F.col("_size").alias("mix_size"),
-            (F.col("_whole") + once_more).alias("mix_copies"),
-            F.col("_source_size").alias("mix_source_size"),
-            F.col("_target").alias("mix_target"),
-        )
+    tied = (F.col("_order") == F.col("_next")) & (F.col("_tie") <= F.col("_tie_cut"))
+    once_more = F.coalesce((F.col("_order") <= F.col("_cut")) | tied, F.lit(False)).cast("int")
+    return rows.join(F.broadcast(table), "_pattern").select(
+        "_doc",
+        F.col("_size").alias("mix_size"),
+        (F.col("_whole") + once_more).alias("mix_copies"),
+        F.col("_source_size").alias("mix_source_size"),
+        F.col("_target").alias("mix_target"),
     )
 
 
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with mix_size, mix_copies (0 to ``most``), mix_source_size and mix_target.
+
+    ``memberships`` is an array of the sources of a document, which may overlap; by default its
+    ``source``. ``weights`` gives the weight of each source from their sorted list. mix_source_size
+    and mix_target sum over the sources of a document.
+    """
+    rows = _mixed(docs, **options)
+    added = rows.columns[1:]
+    kept = [F.col("_doc")[c].alias(c) for c in docs.columns if c not in added]
+    return rows.select(*kept, *added)
+
+
 def _small(spark: SparkSession, plan: list) -> DataFrame:
     schema = T.StructType(
         [
@@ -251,6 +281,6 @@ def _small(spark: SparkSession, plan: list) -> DataFrame:
 
 def take(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: each document as often as the mix takes it, in its own columns."""
-    mixed = mix(docs, **options)
+    taken = _mixed(docs, **options).where("mix_copies > 0")
     times = F.explode(F.sequence(F.lit(1), F.col("mix_copies"))).alias("_time")
-    return mixed.where("mix_copies > 0").select(*docs.columns, times).drop("_time")
+    return taken.select("_doc", times).select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
