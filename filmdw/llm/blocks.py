@@ -29,7 +29,10 @@ def in_blocks(
 ) -> tuple[DataFrame, int]:
     """(doc_id, text, block, and the columns of ``carry`` in one) and the number of blocks, which follows
     the size of the table."""
-    carried = F.struct(*carry) if carry else F.lit(None).cast("int")
+    carried = F.lit(None).cast("int")
+    if carry:
+        # what comes back from the tasks may be null, whatever the table says
+        carried = F.struct(*carry).cast(docs.select(*carry).schema.simpleString())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", carried.alias("carried"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(LEAST_BLOCKS, -(-total // block_characters))

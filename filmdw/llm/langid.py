@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from filmdw.llm.words import free_name
+
 PER_LANGUAGE = 600
 SEGMENTS = 3
 SEGMENT_WORDS = 40
@@ -286,5 +288,6 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with their columns, whose language is told with enough confidence."""
-    rows = predict(docs, fit(docs), docs.columns, "_language_")
-    return rows.where("NOT _language_rejected").select(*docs.columns)
+    rejected = free_name(docs.columns, "_language_rejected")
+    rows = predict(docs, fit(docs), docs.columns, rejected.removesuffix("rejected"))
+    return rows.where(~F.col(rejected)).select(*docs.columns)

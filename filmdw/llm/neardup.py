@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from filmdw.llm.hashing import mixed, run_hashes, slices, word_hashes
+from filmdw.llm.words import free_name
 from filmdw.session import write_stage
 
 SHINGLE = 5
@@ -294,12 +295,13 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     columns = docs.columns
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     judged = write_stage(near_duplicates(docs, **options).select("row", "kept"), "judged")
-    gone = judged.where("NOT kept").select(F.col("row").alias("_row")).distinct()
-    several = judged.where("kept").groupBy(F.col("row").alias("_row")).agg(F.count("*").alias("n"))
-    several = several.where("n > 1").select("_row", F.lit(True).alias("_several"))
+    row, several = free_name(columns, "_row"), free_name(columns, "_several")
+    gone = judged.where("NOT kept").select(F.col("row").alias(row)).distinct()
+    repeats = judged.where("kept").groupBy(F.col("row").alias(row)).agg(F.count("*").alias("n"))
+    repeats = repeats.where("n > 1").select(row, F.lit(True).alias(several))
     # only the keys of what goes, and of rows that occur more than once, meet the texts
-    known = gone.select("_row", F.lit(False).alias("_several")).unionByName(several)
-    marked = docs.withColumn("_row", row_hash()).join(known, "_row", "left")
-    once = marked.where("_several IS NULL").select(*columns)
-    repeated = marked.where("_several").dropDuplicates(["_row"]).select(*columns)
+    known = gone.select(row, F.lit(False).alias(several)).unionByName(repeats)
+    marked = docs.withColumn(row, row_hash()).join(known, row, "left")
+    once = marked.where(F.col(several).isNull()).select(*columns)
+    repeated = marked.where(F.col(several)).dropDuplicates([row]).select(*columns)
     return once.unionByName(repeated)

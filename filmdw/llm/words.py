@@ -10,6 +10,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP_CHARACTERS = " \t\n\x0b\f\r"
 
 
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, or with more underscores before it where a column has that name."""
+    taken = {c.lower() for c in columns}
+    while wanted.lower() in taken:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
