@@ -45,6 +45,8 @@ UNDETERMINED = "und"
 #: words whose scores a worker keeps before it starts anew
 KEPT_WORDS = 200_000
 SLICE_CHARACTERS = 1_000_000
+#: characters of new words that are hashed at a time, which bounds the arrays over their n-grams
+LEARNED_CHARACTERS = 50_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _LENGTHS = (2, 3, 4, 5)
@@ -208,6 +210,17 @@ class _Scorer:
         self.rows = np.zeros((1 << 12, len(self.model.languages) + 1), np.float32)
 
     def _learn(self, words: list[str]) -> None:
+        part, characters = [], 0
+        for word in words:
+            part.append(word)
+            characters += len(word)
+            if characters >= LEARNED_CHARACTERS:
+                self._learn_part(part)
+                part, characters = [], 0
+        if part:
+            self._learn_part(part)
+
+    def _learn_part(self, words: list[str]) -> None:
         grams, sizes = subwords(words, len(self.model.table))
         n = len(self.known)
         while n + len(words) > len(self.rows):
