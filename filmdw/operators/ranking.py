@@ -83,5 +83,5 @@ def number_rows(
 
 
 def surrogate_keys(names: DataFrame, order_by: list[str], key: str) -> DataFrame:
-    """Number a table of distinct names from 1."""
-    return number_rows(names, order_by, key, label=key, unique=True)
+    """Number a table of distinct names from 1; written, as a dimension is read several times."""
+    return write_stage(number_rows(names, order_by, key, label=key, unique=True), f"{key}-keys")
