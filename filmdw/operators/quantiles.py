@@ -42,12 +42,16 @@ def _magnitude(value: Column) -> Column:
 
 def _bin(value: Column, low: float, high: float, wide: bool) -> Column:
     """A place in 0..BINS-1 that never falls as the value rises; infinities stand outside."""
-    if wide:
+    if low >= high:
+        share = F.lit(0.0)
+    elif wide:
         low, high, own = _magnitude(_literal(low)), _magnitude(_literal(high)), _magnitude(value)
         share = (own - low) / (high - low)
-    else:
-        # halves, so that the width of an interval is finite
+    elif math.isinf(high - low):
+        # halves, so that the width of the interval is finite
         share = (value / 2 - low / 2) / (high / 2 - low / 2)
+    else:
+        share = (value - low) / (high - low)
     inside = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
     return F.when(value == float("-inf"), -1).when(value == float("inf"), BINS).otherwise(inside)
 
@@ -84,8 +88,7 @@ def _split(df: DataFrame, intervals: list[_Interval], bounds: dict[str, tuple])
     def item(value: Column, i: _Interval):
         # a whole column starts between its finite values
         low, high = (i.low, i.high) if math.isfinite(i.low) else bounds[i.column][1:]
-        low, high = (0.0, 1.0) if low is None else (low, high)
-        high = high if low < high else math.nextafter(low, math.inf)
+        low, high = (0.0, 0.0) if low is None else (low, high)
         # equal bins of a wide interval would hold most of its values in the first one
         least, most = sorted((abs(low), abs(high)))
         wide = math.isfinite(i.low) and (low < 0 < high or most > BINS * least)

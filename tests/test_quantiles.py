@@ -28,6 +28,8 @@ def columns(seed: int, n: int) -> dict[str, list]:
         "gaps": [rng.choice([None, math.nan, 3.0, -2.5]) for _ in range(n)],
         "ends": [rng.choice([math.inf, -math.inf, 1.7e308, -1.7e308, 0.0, -0.0]) for _ in range(n)],
         "same": [4.0] * n,
+        "zeros": [0.0] * n,
+        "tiny": [rng.choice([0.0, 5e-324]) for _ in range(n)],
     }
 
 
