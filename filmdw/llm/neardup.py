@@ -5,11 +5,11 @@ set. A table key is a pair of one half key from either collection, so ``HALVES``
 2 * HALVES * ROWS minhashes instead of as many for each table. Half keys that no other set shares
 are dropped first; keys are formed from the rest only.
 
-Rows with equal sets form a class, and only classes are compared. In a table bucket, members are
-compared with a few pivots, links are confirmed on the full sets, components are formed, and only
-buckets that still hold several components go on with more pivots: their number grows eightfold, so
-a bucket of linked copies is settled after one comparison each, and any other bucket is compared in
-full within few rounds. No bucket is capped, and a pair within a component is not compared again.
+Rows with equal sets form a class, and only classes are compared. In a table bucket every member is
+compared with the first, links are confirmed on the full sets and components are formed: linked
+copies are settled by one comparison each. Members of buckets that still hold several components go
+through an exact filter on their rarest shingles, sizes and places, and the pairs that pass it are
+confirmed. No bucket is capped, and a pair within a component is not compared again.
 
 Defined results: a null text or one without words has an empty set, a component of its own and is
 linked with nothing; a text of fewer words than a shingle is one shingle; rows with equal ids are
@@ -34,7 +34,6 @@ SHINGLE = 5
 PERCENT = 80
 HALVES = 12
 ROWS = 2
-PIVOT_GROWTH = 8
 
 
 def shingle_sets(texts: list[bytes], shingle: int) -> Iterator[np.ndarray]:
@@ -170,52 +169,62 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def shingle_rows(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, n, shingle): a row for each distinct shingle hash of a text, n of them."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for group in slices((t.as_py().encode() for t in batch.column(1)), len):
+                sets = list(shingle_sets(group, shingle))
+                sizes = np.array([len(own) for own in sets])
+                nodes = np.repeat(batch.column(0).slice(at, len(sets)).to_numpy(), sizes)
+                columns = [nodes, np.repeat(sizes, sizes), np.concatenate(sets).view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "n", "shingle"])
+                at += len(sets)
+
+    return texts.select("node", "text").mapInArrow(rows, "node long, n long, shingle long")
+
+
+def pairs_between(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(p, x): a superset of the similar pairs of ``nodes`` (node, component) in different components.
+
+    With the shingles of every set in one order, rarest first, the first shingle that two sets share
+    leaves no more in common than the fewer of the shingles from there on, those that no other set
+    holds left out. Only pairs that can still reach the similarity there are met, so that sets with a
+    common passage, or copies with too many changes of their own, are not. No similar pair is lost.
+    """
+    held = write_stage(shingle_rows(texts.join(nodes, "node", "left_semi"), shingle), "shingles")
+    shared = held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+    order = Window.partitionBy("node").orderBy(F.desc("holders"), F.desc("shingle"))
+    ahead = held.join(shared, "shingle").withColumn("left", F.row_number().over(order))
+    # no partner can be similar if fewer are left than it must share of the set alone
+    ahead = ahead.where(F.col("left") * 100 >= F.col("n") * percent)
+    ahead = write_stage(ahead.join(nodes, "node").select("shingle", "node", "component", "n", "left"), "ahead")
+    other = ahead.select("shingle", *[F.col(c).alias(f"{c}_2") for c in ("node", "component", "n", "left")])
+    reach = F.least("left", "left_2") * (100 + percent) >= (F.col("n") + F.col("n_2")) * percent
+    met = ahead.join(other, "shingle").where("node < node_2 AND component != component_2").where(reach)
+    return met.select(F.col("node").alias("p"), F.col("node_2").alias("x")).distinct()
+
+
 def link_classes(members: DataFrame, texts: DataFrame, shingle: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(links, labels) of classes: all confirmed links that are needed for the components."""
     spark = members.sparkSession
-    # one row for each class and bucket, and whether it has been a pivot of the bucket
-    open_rows = members.withColumn("component", F.col("node")).withColumn("done", F.lit(False))
-    links = seen = spark.createDataFrame([], "p long, x long")
-    labels, pivots = None, 1
-    while True:
-        spread = open_rows.groupBy("key").agg(
-            F.min("component").alias("lo"),
-            F.max("component").alias("hi"),
-            F.min(F.when(~F.col("done"), F.col("node"))).alias("first"),
-        )
-        spread = spread.where("lo < hi AND first IS NOT NULL").select("key", "first")
-        open_rows = open_rows.join(spread, "key")
-        if pivots == 1:
-            chosen = F.col("node") == F.col("first")
-        else:
-            place = F.row_number().over(Window.partitionBy("key").orderBy("done", "node"))
-            open_rows = open_rows.withColumn("place", place)
-            chosen = ~F.col("done") & (F.col("place") <= pivots)
-        open_rows = open_rows.select("key", "node", "component", "done", chosen.alias("pivot"))
-        open_rows = write_stage(open_rows, "open-buckets")
-        if open_rows.isEmpty():
-            return links, spark.createDataFrame([], "node long, component long") if labels is None else labels
-        leads = open_rows.where("pivot").select("key", F.col("node").alias("p"), F.col("component").alias("of_p"))
-        pairs = (
-            open_rows.where("NOT done").join(leads, "key")
-            .where("component != of_p AND NOT (pivot AND node < p)")
-            .select(F.least("p", "node").alias("p"), F.greatest("p", "node").alias("x"))
-            .distinct()
-        )
-        if pivots > 1:
-            pairs = pairs.join(seen, ["p", "x"], "left_anti")
-        pairs = write_stage(pairs, "pairs")
-        found = write_stage(confirmed(pairs, texts, shingle, percent), "confirmed")
-        seen, links = seen.unionByName(pairs), links.unionByName(found)
-        open_rows = open_rows.select("key", "node", "component", (F.col("done") | F.col("pivot")).alias("done"))
-        if not found.isEmpty():
-            labels = _relabelled(labels, found)
-            open_rows = (
-                open_rows.drop("component")
-                .join(labels, "node", "left")
-                .withColumn("component", F.coalesce("component", "node"))
-            )
-        pivots *= PIVOT_GROWTH
+    leads = members.groupBy("key").agg(F.min("node").alias("p"))
+    pairs = members.join(leads, "key").where("node != p").select("p", F.col("node").alias("x")).distinct()
+    links = write_stage(confirmed(write_stage(pairs, "pairs"), texts, shingle, percent), "confirmed")
+    labels = None if links.isEmpty() else components(links)
+    named = members.withColumn("component", F.col("node"))
+    if labels is not None:
+        named = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spread = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    still_open = named.join(spread.where("lo < hi").select("key"), "key", "left_semi")
+    nodes = write_stage(still_open.select("node", "component").distinct(), "open-nodes")
+    pairs = write_stage(pairs_between(nodes, texts, shingle, percent), "pairs")
+    found = write_stage(confirmed(pairs, texts, shingle, percent), "confirmed")
+    if not found.isEmpty():
+        labels, links = _relabelled(labels, found), links.unionByName(found)
+    return links, spark.createDataFrame([], "node long, component long") if labels is None else labels
 
 
 def _relabelled(labels: DataFrame | None, found: DataFrame) -> DataFrame:
