@@ -8,7 +8,7 @@ are dropped first; keys are formed from the rest only.
 Rows with equal sets form a class, and only classes are compared. In a table bucket every member is
 compared with the first, links are confirmed on the full sets and components are formed: linked
 copies are settled by one comparison each. Members of buckets that still hold several components go
-through an exact filter on their rarest shingles, sizes and places, and the pairs that pass it are
+through an exact filter on their rarest shingles, sizes, places and parities, and the pairs that pass it are
 confirmed. No bucket is capped, and a pair within a component is not compared again.
 
 Defined results: a null text or one without words has an empty set, a component of its own and is
@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ SHINGLE = 5
 PERCENT = 80
 HALVES = 12
 ROWS = 2
+PARITIES = [f"odd_{i}" for i in range(8)]
 
 
 def shingle_sets(texts: list[bytes], shingle: int) -> Iterator[np.ndarray]:
@@ -186,13 +189,24 @@ def shingle_rows(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(rows, "node long, n long, shingle long")
 
 
+def parities(held: DataFrame) -> DataFrame:
+    """(node, odd_0 .. odd_7): for each of 512 bits whether an odd number of the set's shingles falls on it.
+
+    The bits in which two sets differ are at most as many as the shingles that only one of them has.
+    """
+    bit, word = F.expr("shiftleft(1L, CAST(shingle & 63 AS INT))"), F.expr("shiftright(shingle, 6) & 7")
+    odd = [F.coalesce(F.bit_xor(F.when(word == i, bit)), F.lit(0)).alias(c) for i, c in enumerate(PARITIES)]
+    return held.groupBy("node").agg(*odd)
+
+
 def pairs_between(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(p, x): a superset of the similar pairs of ``nodes`` (node, component) in different components.
 
     With the shingles of every set in one order, rarest first, the first shingle that two sets share
     leaves no more in common than the fewer of the shingles from there on, those that no other set
     holds left out. Only pairs that can still reach the similarity there are met, so that sets with a
-    common passage, or copies with too many changes of their own, are not. No similar pair is lost.
+    common passage, or copies with too many changes of their own, are not. Of those, pairs whose parities
+    differ in more bits than similar sets differ in shingles are left out. No similar pair is lost.
     """
     held = write_stage(shingle_rows(texts.join(nodes, "node", "left_semi"), shingle), "shingles")
     shared = held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
@@ -200,10 +214,18 @@ def pairs_between(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int
     ahead = held.join(shared, "shingle").withColumn("left", F.row_number().over(order))
     # no partner can be similar if fewer are left than it must share of the set alone
     ahead = ahead.where(F.col("left") * 100 >= F.col("n") * percent)
-    ahead = write_stage(ahead.join(nodes, "node").select("shingle", "node", "component", "n", "left"), "ahead")
-    other = ahead.select("shingle", *[F.col(c).alias(f"{c}_2") for c in ("node", "component", "n", "left")])
-    reach = F.least("left", "left_2") * (100 + percent) >= (F.col("n") + F.col("n_2")) * percent
-    met = ahead.join(other, "shingle").where("node < node_2 AND component != component_2").where(reach)
+    marked = nodes.join(parities(held), "node")
+    columns = ["node", "component", "n", "left", *PARITIES]
+    ahead = write_stage(ahead.join(marked, "node").select("shingle", *columns), "ahead")
+    other = ahead.select("shingle", *[F.col(c).alias(f"{c}_2") for c in columns])
+    both = F.col("n") + F.col("n_2")
+    reach = F.least("left", "left_2") * (100 + percent) >= both * percent
+    apart = reduce(add, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_2"))) for c in PARITIES])
+    met = (
+        ahead.join(other, "shingle")
+        .where("node < node_2 AND component != component_2")
+        .where(reach & (apart * (100 + percent) <= both * (100 - percent)))
+    )
     return met.select(F.col("node").alias("p"), F.col("node_2").alias("x")).distinct()
 
 
