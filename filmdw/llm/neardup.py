@@ -37,6 +37,8 @@ PERCENT = 80
 HALVES = 12
 ROWS = 2
 PARITIES = [f"odd_{i}" for i in range(8)]
+# shingles carried with each one, so that a pair is not met again at the next shingle it shares
+RARER = 16
 
 
 def shingle_sets(texts: list[bytes], shingle: int) -> Iterator[np.ndarray]:
@@ -207,6 +209,9 @@ def pairs_between(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int
     holds left out. Only pairs that can still reach the similarity there are met, so that sets with a
     common passage, or copies with too many changes of their own, are not. Of those, pairs whose parities
     differ in more bits than similar sets differ in shingles are left out. No similar pair is lost.
+
+    Two sets that share one of the ``RARER`` shingles just before, in the order of either, are met there
+    or earlier, where they can reach more, and not again.
     """
     held = write_stage(shingle_rows(texts.join(nodes, "node", "left_semi"), shingle), "shingles")
     shared = held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
@@ -214,8 +219,9 @@ def pairs_between(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int
     ahead = held.join(shared, "shingle").withColumn("left", F.row_number().over(order))
     # no partner can be similar if fewer are left than it must share of the set alone
     ahead = ahead.where(F.col("left") * 100 >= F.col("n") * percent)
+    ahead = ahead.withColumn("rarer", F.collect_list("shingle").over(order.rowsBetween(1, RARER)))
     marked = nodes.join(parities(held), "node")
-    columns = ["node", "component", "n", "left", *PARITIES]
+    columns = ["node", "component", "n", "left", "rarer", *PARITIES]
     ahead = write_stage(ahead.join(marked, "node").select("shingle", *columns), "ahead")
     other = ahead.select("shingle", *[F.col(c).alias(f"{c}_2") for c in columns])
     both = F.col("n") + F.col("n_2")
@@ -225,6 +231,7 @@ def pairs_between(nodes: DataFrame, texts: DataFrame, shingle: int, percent: int
         ahead.join(other, "shingle")
         .where("node < node_2 AND component != component_2")
         .where(reach & (apart * (100 + percent) <= both * (100 - percent)))
+        .where(~F.arrays_overlap("rarer", "rarer_2"))
     )
     return met.select(F.col("node").alias("p"), F.col("node_2").alias("x")).distinct()
 
