@@ -1178,6 +1178,88 @@ FINAL: dict[str, tuple[list[str], str]] = {
 }
 
 
+# Rough rows: as film, with text that is no date or number read as missing
+PARTS |= {
+    "rough": """
+        SELECT * REPLACE (
+          title || ': a title longer than what any narrow display shows' AS title,
+          CASE WHEN movie_id % 59 = 0 THEN DATE '2031-02-03' WHEN movie_id % 67 = 0 THEN DATE '1899-12-31'
+               WHEN movie_id % 71 = 0 OR movie_id % 5 = 1 THEN NULL ELSE release_date END AS release_date,
+          CASE WHEN movie_id % 53 = 0 THEN NULL WHEN movie_id % 61 = 0 THEN 2e9 ELSE budget END AS budget,
+          CASE WHEN movie_id % 73 = 0 THEN 1.5e10 WHEN movie_id % 79 = 0 THEN NULL ELSE revenue END AS revenue,
+          CASE WHEN movie_id % 3 = 1 THEN NULL ELSE runtime END AS runtime,
+          CASE movie_id % 4 WHEN 1 THEN 'Columbia Pictures-' || production_companies
+               WHEN 2 THEN 'Independent Film Makers of Region ' || movie_id % 7 || '-' || production_companies
+               ELSE production_companies END AS production_companies)
+        FROM film""",
+    "rough_staging": PARTS["staging"].replace("FROM film", "FROM rough"),
+    "rough_cleaned": PARTS["cleaned"].replace("FROM staging", "FROM rough_staging"),
+    "spoiled": """
+        SELECT * REPLACE (
+          CASE WHEN id % 7 = 0 THEN profit + 5 ELSE profit END AS profit,
+          CASE WHEN id % 6 = 0 THEN roi + 1 ELSE roi END AS roi,
+          CASE WHEN id % 43 = 0 THEN NULL WHEN id % 9 = 0 THEN -1.0 ELSE budget END AS budget,
+          CASE WHEN id % 23 = 0 THEN NULL WHEN id % 8 = 0 THEN -2.0 ELSE revenue END AS revenue,
+          CASE WHEN id % 17 = 0 THEN 12.0 ELSE vote_average END AS vote_average,
+          CASE WHEN id % 20 <> 0 THEN title END AS title,
+          CASE WHEN id % 5 <> 0 THEN runtime END AS runtime,
+          CASE WHEN id % 31 <> 0 THEN release_date END AS release_date,
+          CASE WHEN id % 37 <> 0 THEN genres END AS genres)
+        FROM rough_cleaned""",
+    "rough_features": """
+        SELECT id, revenue, budget, filled AS runtime, popularity, vote_average, vote_count, release_year,
+               release_month, genre_encoded, studio_freq
+        FROM (SELECT *, COALESCE(runtime, MEDIAN(runtime) OVER ()) AS filled,
+                     dense_rank() OVER (ORDER BY primary_genre) - 1 AS genre_encoded,
+                     COUNT(*) OVER (PARTITION BY primary_studio) AS studio_freq
+              FROM (SELECT *, CASE WHEN COALESCE(genres, '') = '' THEN 'Unknown'
+                                   ELSE trim(split_part(genres, '-', 1)) END AS primary_genre,
+                           trim(split_part(production_companies, '-', 1)) AS primary_studio
+                    FROM spoiled))
+        WHERE revenue > 0""",
+    "rough_studio": PARTS["dim_studio"].replace("FROM staging", "FROM rough"),
+}
+NEEDS |= {
+    "rough": ["film"],
+    "rough_staging": ["rough"],
+    "rough_cleaned": ["rough_staging"],
+    "spoiled": ["rough_cleaned"],
+    "rough_features": ["spoiled"],
+    "rough_studio": ["rough"],
+}
+FINAL |= {
+    "rough_clean": (["rough_cleaned"], FINAL["clean_movies"][1].replace("FROM cleaned", "FROM rough_cleaned")),
+    "rough_step_counts": (
+        ["rough"],
+        FINAL["clean_step_counts"][1]
+        .replace("FROM film", "FROM rough")
+        .replace("NOT (budget > 0 AND revenue > 0)", "NOT COALESCE(budget > 0 AND revenue > 0, FALSE)"),
+    ),
+    "rough_top_grossing": (
+        ["rough_cleaned"],
+        """SELECT id, title, substr(title, 1, 45) AS shown_title, release_date,
+           ROUND(revenue / 1e9, 9) AS revenue_billions, ROUND(budget / 1e6, 9) AS budget_millions
+           FROM rough_cleaned ORDER BY revenue DESC, id LIMIT 10""",
+    ),
+    "rough_studios": (["rough_studio"], "SELECT * FROM rough_studio"),
+    "rough_formula_match": (
+        ["spoiled"],
+        """SELECT *, ROUND(profit_matches * 100.0 / profit_rows, 6) AS profit_pct,
+           ROUND(roi_matches * 100.0 / roi_rows, 6) AS roi_pct FROM (
+             SELECT COUNT(*) FILTER (budget > 0 AND revenue > 0) AS profit_rows,
+             COUNT(*) FILTER (budget > 0 AND revenue > 0 AND abs(revenue - budget - profit) < 1)
+               AS profit_matches,
+             COUNT(*) FILTER (budget > 0 AND revenue IS NOT NULL) AS roi_rows,
+             COUNT(*) FILTER (budget > 0 AND revenue IS NOT NULL AND abs(profit / budget - roi) < 0.01)
+               AS roi_matches FROM spoiled)""",
+    ),
+    "rough_cleaned_checks": (
+        ["spoiled"], FINAL["dq_cleaned_checks"][1].replace("FROM cleaned", "FROM spoiled")
+    ),
+    "rough_features": (["rough_features"], "SELECT * FROM rough_features"),
+}
+
+
 def _closure(names: list[str]) -> list[str]:
     wanted: set[str] = set()
 

@@ -26,7 +26,7 @@ from filmdw.operators import (
     staging as stages,
 )
 from filmdw.operators.lookup import first_match, keep_known, keep_unknown, lookup
-from filmdw.plans import warehouse_queries
+from filmdw.plans import rough_queries, warehouse_queries
 from filmdw.session import conf, run_together, scratch_root, write_stage
 from filmdw.sources.bindings import (
     detail_documents,
@@ -1031,3 +1031,4 @@ def delta_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update(warehouse_queries.QUERIES)
+QUERIES.update(rough_queries.ROUGH_QUERIES)

@@ -128,6 +128,43 @@ def raw_from_orders(
     return rows.withColumn("overview", F.lit(None).cast("string"))
 
 
+def rough_from_orders(
+    spark: SparkSession, sf_dir: str, lists: tuple[str, ...] = LISTS
+) -> DataFrame:
+    """The raw rows with every value as text: some dates and numbers are none, some days lie outside the
+    calendar of films and some money above its caps, titles are long, and some studios are major ones
+    or have a long name."""
+    rows = film_rows(spark, sf_dir, lists).withColumnRenamed("movie_id", "o_orderkey")
+    day = F.date_format("release_date", "yyyy-MM-dd")
+    by_rest = lambda n, rest: F.pmod("o_orderkey", F.lit(n)) == rest
+    changed = {
+        "title": F.concat("title", F.lit(": a title longer than what any narrow display shows")),
+        "release_date": F.when(_every(59), "2031-02-03")
+        .when(_every(67), "1899-12-31")
+        .when(_every(71), "2001-02-30")
+        .when(by_rest(5, 1), F.translate(day, "-", "/"))
+        .otherwise(day),
+        "budget": F.when(_every(53), "n/a").when(_every(61), "2000000000").otherwise(F.col("budget").cast("string")),
+        "revenue": F.when(_every(73), "1.5e10").when(_every(79), "NaN").otherwise(F.col("revenue").cast("string")),
+        "runtime": F.when(by_rest(3, 1), "two hours").otherwise(F.col("runtime").cast("string")),
+    }
+    if "production_companies" in lists:
+        studios, region = F.col("production_companies"), F.pmod("o_orderkey", F.lit(7)).cast("string")
+        changed["production_companies"] = (
+            F.when(by_rest(4, 1), F.concat(F.lit("Columbia Pictures-"), studios))
+            .when(by_rest(4, 2), F.concat(F.lit("Independent Film Makers of Region "), region, F.lit("-"), studios))
+            .otherwise(studios)
+        )
+    numbers = {c: F.col(c).cast("string") for c in ("vote_average", "vote_count", "popularity")}
+    key = F.col("o_orderkey").cast("string")
+    rough = rows.withColumns({**changed, **numbers})
+    return rough.select(
+        F.when(by_rest(16, 1), F.concat(key, F.lit(".0"))).otherwise(key).alias("id"),
+        *[c for c in rough.columns if c != "o_orderkey"],
+        F.lit(None).cast("string").alias("overview"),
+    )
+
+
 def detail_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a JSON detail document in a text column ``json``.
 
