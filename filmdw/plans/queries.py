@@ -658,10 +658,10 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def csv_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with line breaks and quotes, written to one delimited file and read in ranges of it."""
+    """Documents with line breaks and quotes, written to delimited files and read in ranges of them."""
     path = _run_folder(spark, "quoted")
     kinds = "doc_id string, source string, text string"
-    write_csv(table(spark, sf_dir, "documents").select("doc_id", "source", "text").coalesce(1), path)
+    write_csv(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), path)
     with conf(spark, **{"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "1"}):
         rows = write_stage(read_quoted_csv(spark, path, StructType.fromDDL(kinds)), "quoted")
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -3,13 +3,16 @@
 import csv
 import io
 import random
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from filmdw.schemas import RAW_TEXT
-from filmdw.session import conf
+from filmdw.plans import queries
+from filmdw.session import conf, scratch_root
 from filmdw.sources.files import read_csv
 from filmdw.sources.quoted_csv import quoted_records, read_quoted_csv
 
@@ -79,3 +82,22 @@ def test_text_is_shuffled_once(spark, tmp_path):
     assert "Python" not in plan and "SinglePartition" not in plan
     names = read_quoted_csv(spark, str(tmp_path)).columns
     assert names == RAW_TEXT.names and records.select(F.col("value")).count() == 50 + 8
+
+
+def test_no_task_writes_or_numbers_all_text(spark, tmp_path):
+    """Documents of several files are written by as many tasks, and only counts are in one task for a file."""
+    docs = spark.range(600).select(
+        F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.concat(F.lit('a "b"\n'), F.col("id"), F.lit("\n,c")).alias("text")
+    )
+    docs.repartition(6).write.parquet(str(tmp_path / "documents.parquet"))
+    before = set(Path(scratch_root(spark), "filmdw").glob("quoted-*"))
+    with conf(spark, **{"spark.sql.files.openCostInBytes": str(1 << 40)}):
+        found = queries.csv_quoted_breaks(spark, str(tmp_path))
+    assert rows_of(found.select("doc_id", "source", "text")) == rows_of(docs)
+    (folder,) = set(Path(scratch_root(spark), "filmdw").glob("quoted-*")) - before
+    assert len(list(folder.glob("part-*.csv"))) == 6
+
+    plan = quoted_records(spark, str(folder))._jdf.queryExecution().optimizedPlan().toString()
+    # windows over a whole file: its ranges, and not the pieces with their text
+    over_files = re.findall(r"\], \[file#\d+\], \[(\w+)#", plan)
+    assert over_files and set(over_files) == {"range"} and not re.search(r"\[file#\d+\], \[range#\d+L? ASC NULLS FIRST, record", plan)
