@@ -333,13 +333,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     columns = docs.columns
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     judged = write_stage(near_duplicates(docs, **options).select("row", "kept"), "judged")
-    row, several = free_name(columns, "_row"), free_name(columns, "_several")
+    row = free_name(columns, "_row")
     gone = judged.where("NOT kept").select(F.col("row").alias(row)).distinct()
-    repeats = judged.where("kept").groupBy(F.col("row").alias(row)).agg(F.count("*").alias("n"))
-    repeats = repeats.where("n > 1").select(row, F.lit(True).alias(several))
-    # only the keys of what goes, and of rows that occur more than once, meet the texts
-    known = gone.select(row, F.lit(False).alias(several)).unionByName(repeats)
-    marked = docs.withColumn(row, row_hash()).join(known, row, "left")
-    once = marked.where(F.col(several).isNull()).select(*columns)
-    repeated = marked.where(F.col(several)).dropDuplicates([row]).select(*columns)
-    return once.unionByName(repeated)
+    # texts are shuffled once, by row: what goes is left out and equal rows are taken once in the same place
+    left = docs.withColumn(row, row_hash()).join(gone, row, "left_anti")
+    return left.dropDuplicates([row]).select(*columns)
