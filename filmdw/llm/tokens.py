@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, through a bounded table of known pieces.
 
 Both vocabularies work on pretokens that never reach across certain blanks, so a text is cut at
-those blanks and its ids are put together from those of the pieces. A piece not seen before is cut
-into pretokens, and each new pretoken is encoded once by the library's model. Control strings of a
-vocabulary are ordinary text here.
+those blanks and its ids are put together from those of the pieces. Pieces not seen before are cut
+into pretokens together, and new pretokens are encoded by the library's model once.
+Control strings of a vocabulary are ordinary text here.
 """
 
 from __future__ import annotations
@@ -11,17 +11,18 @@ from __future__ import annotations
 import json
 import os
 import re
-import struct
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-#: characters of pieces, and of either generation of pretokens, held in the tables of a worker
+#: characters of either generation of pieces, and of pretokens, held in the tables of a worker
 KEPT_CHARACTERS = 2_000_000
 #: characters of text encoded at a time
 SLICE_CHARACTERS = 1_000_000
-
 #: pretokens of the byte-level vocabulary; with word ends, the file has its own pattern
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: characters that are blanks to one of the two pattern libraries only
@@ -46,8 +47,84 @@ def _byte_names() -> list[str]:
     return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
 
 
-def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+class Generation:
+    """The ids of strings, end to end."""
+
+    def __init__(self):
+        self.known: dict = {}
+        self.characters = 0
+        self.starts = np.zeros(1 << 10, np.int64)
+        self.pool = np.zeros(1 << 12, np.uint32)
+
+    def places(self, strings: list) -> np.ndarray:
+        """The number of each string; -1 for unknown ones."""
+        return np.fromiter(map(self.known.get, strings, repeat(-1)), np.int64, len(strings))
+
+    def add(self, strings: list, ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, used = len(self.known), int(self.starts[len(self.known)])
+        if n + len(strings) + 1 > len(self.starts):
+            self.starts = np.resize(self.starts, 2 * (n + len(strings) + 1))
+        if used + len(ids) > len(self.pool):
+            self.pool = np.resize(self.pool, 2 * (used + len(ids)))
+        self.pool[used : used + len(ids)] = ids
+        self.starts[n + 1 : n + 1 + len(strings)] = used + np.cumsum(lengths)
+        self.known.update(zip(strings, range(n, n + len(strings))))
+        self.characters += sum(map(len, strings))
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids at these places, end to end; how many of each)."""
+        starts = self.starts[at]
+        lengths = self.starts[at + 1] - starts
+        ends = np.cumsum(lengths)
+        return self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)], lengths
+
+
+class Table:
+    """Ids of strings in two generations: those in use move to the newer one before the older is dropped."""
+
+    def __init__(self, learn):
+        self.learn = learn
+        self.newer, self.older = Generation(), Generation()
+
+    def places(self, strings: list) -> np.ndarray:
+        """The number of each string in the newer generation."""
+        if self.newer.characters > KEPT_CHARACTERS:
+            self.newer, self.older = Generation(), self.newer
+        at = self.newer.places(strings)
+        gone = np.flatnonzero(at < 0)
+        if len(gone):
+            unknown = [strings[i] for i in gone.tolist()]
+            missing = list(dict.fromkeys(unknown))
+            place = self.older.places(missing)
+            held, new = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+            n = len(self.newer.known)
+            if len(held):
+                self.newer.add([missing[i] for i in held.tolist()], *self.older.take(place[held]))
+                place[held] = np.arange(n, n + len(held))
+            if len(new):
+                order, ids, lengths = self.learn([missing[i] for i in new.tolist()] if len(held) else missing)
+                new = new[order]
+                self.newer.add([missing[i] for i in new.tolist()], ids, lengths)
+                place[new] = np.arange(n + len(held), n + len(missing))
+            at[gone] = place if len(missing) == len(unknown) else self.newer.places(unknown)
+        return at
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.newer.take(at)
+
+
+def _even(piece) -> bool:
+    """Whether a piece that follows a blank is cut into the same pretokens between others as alone."""
+    if type(piece) is tuple:
+        return False
+    return piece.isalnum() or bool(piece and " " not in piece and not piece[0].isspace() and not piece[-1].isspace())
+
+
+def _summed(lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of the next lengths for each count of them, which may be none."""
+    ends = np.cumsum(counts)
+    until = np.concatenate([[0], np.cumsum(lengths)])
+    return until[ends] - until[ends - counts]
 
 
 class Encoder:
@@ -60,91 +137,96 @@ class Encoder:
         # with word ends, blanks only separate; without, a blank belongs to the piece after it
         self.blanks_matter = not self.tokenizer.model.end_of_word_suffix
         if self.blanks_matter:
-            pattern = BYTE_LEVEL
+            self.pretokens = regex.compile(BYTE_LEVEL).findall
         else:
             pattern = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pretokens = regex.compile(pattern).findall
-        self.byte_names = dict(enumerate(_byte_names()))
-        # pretokens in use move from the older table to the newer one before it is dropped
-        self.newer: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.newer_characters = 0
-        self._clear()
-
-    def _clear(self):
-        self.known: dict = {}
-        self.characters = 0
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.pool = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _pieces(self, text: str) -> list:
-        """A first piece is wrapped in a tuple, as no blank stands before it."""
-        if not self.blanks_matter:
-            return text.replace("\n", " ").split(" ")
-        # a blank between two other characters always starts a pretoken; with runs of blanks only those
-        pieces = _LONE_BLANK.split(text) if _TWO_BLANKS.search(text) else text.split(" ")
-        pieces[0] = (pieces[0],)
-        return pieces
-
-    def _learn(self, missing: list) -> None:
+            # no piece has a line break: it stands between pieces
+            self.pretokens = regex.compile(pattern + r"|\n").findall
+        self.points = np.array([ord(c) for c in _byte_names()], "<u4")
+        self.known_pretokens = Table(self._learn_pretokens)
+        self.known_pieces = Table(self._learn)
+
+    def _learn(self, missing: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """New pieces: an order of them, their ids in that order, and how many each has."""
         if self.blanks_matter:
             strings = [p[0] if type(p) is tuple else " " + p for p in missing]
         else:
             strings = missing
-        ids = [self._ids(s) for s in strings]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), "<u4")
-        n = len(self.known)
-        while n + len(ids) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * len(self.starts))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * len(self.pool))
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.starts[n + 1 : n + 1 + len(ids)] = self.used + np.cumsum(lengths)
-        self.starts[n] = self.used
-        self.used += len(flat)
-        self.characters += sum(map(len, strings))
-        self.known.update(zip(missing, range(n, n + len(ids))))
-
-    def _ids(self, piece: str) -> bytes:
-        """The ids of a piece as unsigned 32-bit integers, packed to keep the tables small."""
-        if _DOUBTFUL.search(piece):
-            return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if not self.blanks_matter:
-            piece = piece.lower() if piece.isascii() else self.tokenizer.normalizer.normalize_str(piece)
-        found = []
-        for pretoken in self.pretokens(piece):
-            own = self.newer.get(pretoken)
-            if own is None:
-                own = self.older.get(pretoken)
-                if own is None:
-                    named = pretoken.encode().decode("latin-1").translate(self.byte_names)
-                    own = packed([t.id for t in self.tokenizer.model.tokenize(named)])
-                self.newer[pretoken] = own
-                self.newer_characters += len(pretoken)
-                if self.newer_characters > KEPT_CHARACTERS:
-                    self.newer, self.older, self.newer_characters = {}, self.newer, 0
-            found.append(own)
-        return b"".join(found)
-
-    def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if self.characters > KEPT_CHARACTERS:
-            self._clear()
-        pieces, counts = [], []
-        for text in texts:
-            own = self._pieces(text)
-            pieces += own
-            counts.append(len(own))
-        places = list(map(self.known.get, pieces))
-        if None in places:
-            self._learn(list(dict.fromkeys(p for p, at in zip(pieces, places) if at is None)))
-            places = list(map(self.known.get, pieces))
-        at = np.array(places, np.int64)
-        lengths = self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(lengths)
-        ids = self.pool[np.arange(ends[-1]) + np.repeat(self.starts[at] - ends + lengths, lengths)]
-        return ids, np.add.reduceat(lengths, np.cumsum([0, *counts[:-1]]))
+        together, alone, doubtful = list(range(len(strings))), [], []
+        if _DOUBTFUL.search("".join(strings)):
+            doubtful = [i for i in together if _DOUBTFUL.search(strings[i])]
+            together = sorted(set(together).difference(doubtful))
+        if self.blanks_matter:
+            alone = [i for i in together if not _even(missing[i])]
+            together = sorted(set(together).difference(alone)) if alone else together
+            found = self.pretokens("".join([strings[i] for i in together]))
+            first = np.flatnonzero(np.fromiter((p[0] == " " for p in found), bool, len(found)))
+            counts = np.diff(np.append(first, len(found)))
+        else:
+            # composed and lower-cased as the vocabulary wants it
+            normal = self.tokenizer.normalizer.normalize_str
+            lower = [s.lower() if s.isascii() else normal(s) for s in (strings[i] for i in together)]
+            found = self.pretokens("\n".join(lower) + "\n")
+            last = np.flatnonzero(np.fromiter((p == "\n" for p in found), bool, len(found)))
+            counts = np.diff(np.concatenate([[-1], last])) - 1
+            found = [p for p in found if p != "\n"]
+        for i in alone:
+            own = self.pretokens(strings[i])
+            found += own
+            counts = np.append(counts, len(own))
+        ids, lengths = self.known_pretokens.take(self.known_pretokens.places(found))
+        lengths = _summed(lengths, counts[: len(together) + len(alone)])
+        whole = [self.tokenizer.encode(strings[i], add_special_tokens=False).ids for i in doubtful]
+        ids = np.concatenate([ids, *(np.array(w, np.uint32) for w in whole)])
+        lengths = np.append(lengths, [len(w) for w in whole]).astype(np.int64)
+        return np.array([*together, *alone, *doubtful], np.int64), ids, lengths
+
+    def _learn_pretokens(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if any("\0" in p for p in missing):
+            named = [self._named(p) for p in missing]
+        else:
+            named = self._named("\0".join(missing)).split(self._named("\0"))
+        tokenize = self.tokenizer.model.tokenize
+        ids, lengths = [], []
+        for name in named:
+            own = [t.id for t in tokenize(name)]
+            ids += own
+            lengths.append(len(own))
+        return np.arange(len(missing)), np.array(ids, np.uint32), np.array(lengths, np.int64)
+
+    def _named(self, text: str) -> str:
+        """Text with a character of the vocabulary for each byte."""
+        return self.points[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+
+    def _slice(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. A first piece is wrapped in a tuple, as no blank stands before it."""
+        even, uneven = list(range(len(texts))), []
+        if self.blanks_matter:
+            # a blank between two other characters always starts a pretoken; with runs of blanks only those
+            uneven = [i for i in even if _TWO_BLANKS.search(texts[i])]
+            even = sorted(set(even).difference(uneven)) if uneven else even
+            cut = [texts[i] for i in even]
+        else:
+            cut = [text.replace("\n", " ") for text in texts]
+        lists = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
+        # each distinct piece is looked up once
+        coded = lists.flatten().dictionary_encode()
+        strings, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        if self.blanks_matter:
+            at[np.cumsum(counts) - counts] = np.arange(len(strings), len(strings) + len(cut))
+            strings += [(text.split(" ", 1)[0],) for text in cut]
+            used = len(strings)
+            for i in uneven:
+                own = _LONE_BLANK.split(texts[i])
+                strings.append((own[0],))
+                strings += own[1:]
+                counts = np.append(counts, len(own))
+            at = np.append(at, np.arange(used, len(strings)))
+        ids, lengths = self.known_pieces.take(self.known_pieces.places(strings)[at])
+        ends = np.cumsum(_summed(lengths, counts))
+        found = dict(zip([*even, *uneven], np.split(ids, ends[:-1])))
+        return map(found.get, range(len(texts)))
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
@@ -153,16 +235,10 @@ class Encoder:
             group.append(text)
             size += len(text)
             if size >= SLICE_CHARACTERS:
-                yield from self._split(group)
+                yield from self._slice(group)
                 group, size = [], 0
         if group:
-            yield from self._split(group)
-
-    def _split(self, group: list[str]) -> Iterator[np.ndarray]:
-        ids, lengths = self._slice(group)
-        ends = np.cumsum(lengths)
-        for start, end in zip(ends - lengths, ends):
-            yield ids[start:end]
+            yield from self._slice(group)
 
 
 def encoder(path: str) -> Encoder:
