@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from filmdw.llm.memory import BATCH, give_back
 from filmdw.llm.tokens import encoder, vocabulary
-from filmdw.session import write_stage
+from filmdw.session import conf, write_stage
 
 SEQUENCE = 2048
 END_TOKEN = 0
@@ -66,6 +67,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_token: int
                     ]
                 ),
             )
+        give_back()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
@@ -132,6 +134,7 @@ def pack_documents(
     """Pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     path = path or vocabulary("byte_bpe_50k.json")
     numbered = pieces(docs, path, sequence, end_token).withColumn("_row", F.monotonically_increasing_id())
-    cut = write_stage(numbered, "pieces")
+    with conf(docs.sparkSession, **BATCH):
+        cut = write_stage(numbered, "pieces")
     capacity = (sequence, MOST_DOCUMENTS, float(sequence) ** 2)
     return pack(cut, **{"capacity": capacity, **options})

@@ -12,7 +12,6 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +19,18 @@ import pyarrow.compute as pc
 import regex
 
 #: characters of either generation of pieces, and of pretokens, held in the tables of a worker
-KEPT_CHARACTERS = 2_000_000
+KEPT_CHARACTERS = 1_000_000
 #: characters of text encoded at a time
-SLICE_CHARACTERS = 1_000_000
+SLICE_CHARACTERS = 2_000_000
 #: pretokens of the byte-level vocabulary; with word ends, the file has its own pattern
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: characters that are blanks to one of the two pattern libraries only
 _DOUBTFUL = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
-_TWO_BLANKS = re.compile(r"\s\s")
+#: what Python calls a blank, as Arrow's patterns write it
+_BLANK = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
+_TWO_BLANKS = f"{_BLANK}{{2}}"
+#: pieces after a blank that are cut into other pretokens between others than alone, and first pieces
+_UNEVEN = rf"^{_BLANK}|{_BLANK}\z| |^\z"
 _LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -47,36 +50,33 @@ def _byte_names() -> list[str]:
     return [chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+def _strings(values: list[str]) -> pa.Array:
+    return pa.array(values, pa.large_string())
+
+
 class Generation:
     """The ids of strings, end to end."""
 
     def __init__(self):
-        self.known: dict = {}
+        self.known = _strings([])
         self.characters = 0
-        self.starts = np.zeros(1 << 10, np.int64)
-        self.pool = np.zeros(1 << 12, np.uint32)
-
-    def places(self, strings: list) -> np.ndarray:
-        """The number of each string; -1 for unknown ones."""
-        return np.fromiter(map(self.known.get, strings, repeat(-1)), np.int64, len(strings))
-
-    def add(self, strings: list, ids: np.ndarray, lengths: np.ndarray) -> None:
-        n, used = len(self.known), int(self.starts[len(self.known)])
-        if n + len(strings) + 1 > len(self.starts):
-            self.starts = np.resize(self.starts, 2 * (n + len(strings) + 1))
-        if used + len(ids) > len(self.pool):
-            self.pool = np.resize(self.pool, 2 * (used + len(ids)))
-        self.pool[used : used + len(ids)] = ids
-        self.starts[n + 1 : n + 1 + len(strings)] = used + np.cumsum(lengths)
-        self.known.update(zip(strings, range(n, n + len(strings))))
-        self.characters += sum(map(len, strings))
+        self.starts = np.zeros(1, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def add(self, strings: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, strings])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.pool = np.concatenate([self.pool, ids])
+        self.characters += pc.sum(pc.utf8_length(strings)).as_py()
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the ids at these places, end to end; how many of each)."""
         starts = self.starts[at]
         lengths = self.starts[at + 1] - starts
         ends = np.cumsum(lengths)
-        return self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)], lengths
+        index = np.repeat(starts - ends + lengths, lengths)
+        index += np.arange(len(index))
+        return self.pool[index], lengths
 
 
 class Table:
@@ -86,38 +86,37 @@ class Table:
         self.learn = learn
         self.newer, self.older = Generation(), Generation()
 
-    def places(self, strings: list) -> np.ndarray:
+    def places(self, strings: pa.Array) -> np.ndarray:
         """The number of each string in the newer generation."""
         if self.newer.characters > KEPT_CHARACTERS:
             self.newer, self.older = Generation(), self.newer
-        at = self.newer.places(strings)
-        gone = np.flatnonzero(at < 0)
-        if len(gone):
-            unknown = [strings[i] for i in gone.tolist()]
-            missing = list(dict.fromkeys(unknown))
-            place = self.older.places(missing)
-            held, new = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
-            n = len(self.newer.known)
-            if len(held):
-                self.newer.add([missing[i] for i in held.tolist()], *self.older.take(place[held]))
-                place[held] = np.arange(n, n + len(held))
-            if len(new):
-                order, ids, lengths = self.learn([missing[i] for i in new.tolist()] if len(held) else missing)
-                new = new[order]
-                self.newer.add([missing[i] for i in new.tolist()], ids, lengths)
-                place[new] = np.arange(n + len(held), n + len(missing))
-            at[gone] = place if len(missing) == len(unknown) else self.newer.places(unknown)
-        return at
+        n, old = len(self.newer.known), len(self.older.known)
+        # known strings come first, so the code of a string says which generation has it
+        coded = pa.concat_arrays([self.newer.known, self.older.known, strings]).dictionary_encode()
+        distinct, codes = coded.dictionary, coded.indices.to_numpy()
+        place = np.arange(len(distinct))
+        before = np.full(len(distinct), -1)
+        before[codes[n : n + old]] = np.arange(old)
+        used = np.zeros(len(distinct), bool)
+        used[codes[n + old :]] = True
+        used[:n] = False
+        held, new = np.flatnonzero(used & (before >= 0)), np.flatnonzero(used & (before < 0))
+        if len(held):
+            self.newer.add(distinct.take(pa.array(held)), *self.older.take(before[held]))
+            place[held] = n + np.arange(len(held))
+        if len(new):
+            missing = distinct.take(pa.array(new))
+            order, ids, lengths = self.learn(missing.to_numpy(zero_copy_only=False).tolist())
+            self.newer.add(missing.take(pa.array(order)), ids, lengths)
+            place[new[order]] = n + len(held) + np.arange(len(new))
+        return place[codes[n + old :]]
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.newer.take(at)
 
 
-def _even(piece) -> bool:
-    """Whether a piece that follows a blank is cut into the same pretokens between others as alone."""
-    if type(piece) is tuple:
-        return False
-    return piece.isalnum() or bool(piece and " " not in piece and not piece[0].isspace() and not piece[-1].isspace())
+def _matches(strings: pa.Array, pattern: str) -> np.ndarray:
+    return pc.match_substring_regex(strings, pattern).to_numpy(zero_copy_only=False)
 
 
 def _summed(lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -146,10 +145,10 @@ class Encoder:
         self.known_pretokens = Table(self._learn_pretokens)
         self.known_pieces = Table(self._learn)
 
-    def _learn(self, missing: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _learn(self, missing: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """New pieces: an order of them, their ids in that order, and how many each has."""
         if self.blanks_matter:
-            strings = [p[0] if type(p) is tuple else " " + p for p in missing]
+            strings = [p[1:] if p[:1] == " " else " " + p for p in missing]
         else:
             strings = missing
         together, alone, doubtful = list(range(len(strings))), [], []
@@ -157,24 +156,34 @@ class Encoder:
             doubtful = [i for i in together if _DOUBTFUL.search(strings[i])]
             together = sorted(set(together).difference(doubtful))
         if self.blanks_matter:
-            alone = [i for i in together if not _even(missing[i])]
-            together = sorted(set(together).difference(alone)) if alone else together
+            uneven = _matches(_strings(missing), _UNEVEN)
+            alone = [i for i in together if uneven[i]]
+            together = [i for i in together if not uneven[i]]
             found = self.pretokens("".join([strings[i] for i in together]))
-            first = np.flatnonzero(np.fromiter((p[0] == " " for p in found), bool, len(found)))
+            first = np.flatnonzero(pc.starts_with(_strings(found), " ").to_numpy(zero_copy_only=False))
             counts = np.diff(np.append(first, len(found)))
         else:
             # composed and lower-cased as the vocabulary wants it
             normal = self.tokenizer.normalizer.normalize_str
-            lower = [s.lower() if s.isascii() else normal(s) for s in (strings[i] for i in together)]
-            found = self.pretokens("\n".join(lower) + "\n")
-            last = np.flatnonzero(np.fromiter((p == "\n" for p in found), bool, len(found)))
+            plain = pc.string_is_ascii(_strings(strings)).to_numpy(zero_copy_only=False)
+            together = [i for i in together if plain[i]] + [i for i in together if not plain[i]]
+            first = [strings[i] for i in together if plain[i]]
+            others = [strings[i] for i in together if not plain[i]]
+            parts = ["\n".join(first).lower()] if first else []
+            if any("\0" in p for p in others):
+                parts += map(normal, others)
+            elif others:
+                parts.append(normal("\0".join(others)).replace("\0", "\n"))
+            together = [i for i in together if plain[i]] + [i for i in together if not plain[i]]
+            found = self.pretokens("\n".join([*parts, ""]))
+            last = np.flatnonzero(pc.equal(_strings(found), "\n").to_numpy(zero_copy_only=False))
             counts = np.diff(np.concatenate([[-1], last])) - 1
             found = [p for p in found if p != "\n"]
         for i in alone:
             own = self.pretokens(strings[i])
             found += own
             counts = np.append(counts, len(own))
-        ids, lengths = self.known_pretokens.take(self.known_pretokens.places(found))
+        ids, lengths = self.known_pretokens.take(self.known_pretokens.places(_strings(found)))
         lengths = _summed(lengths, counts[: len(together) + len(alone)])
         whole = [self.tokenizer.encode(strings[i], add_special_tokens=False).ids for i in doubtful]
         ids = np.concatenate([ids, *(np.array(w, np.uint32) for w in whole)])
@@ -199,42 +208,47 @@ class Encoder:
         return self.points[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
 
     def _slice(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text. A first piece is wrapped in a tuple, as no blank stands before it."""
-        even, uneven = list(range(len(texts))), []
+        """The ids of each text. A first piece is marked by a blank, as none stands before it; no other
+        piece starts with one."""
+        cut, even, uneven = _strings(texts), np.arange(len(texts)), []
         if self.blanks_matter:
             # a blank between two other characters always starts a pretoken; with runs of blanks only those
-            uneven = [i for i in even if _TWO_BLANKS.search(texts[i])]
-            even = sorted(set(even).difference(uneven)) if uneven else even
-            cut = [texts[i] for i in even]
+            runs = _matches(cut, _TWO_BLANKS)
+            even, uneven = np.flatnonzero(~runs), np.flatnonzero(runs)
+            cut = cut.filter(pa.array(~runs)) if len(uneven) else cut
         else:
-            cut = [text.replace("\n", " ") for text in texts]
-        lists = pc.split_pattern(pa.array(cut, pa.large_string()), " ")
-        # each distinct piece is looked up once
-        coded = lists.flatten().dictionary_encode()
-        strings, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+            cut = pc.replace_substring(cut, "\n", " ")
+        lists = pc.split_pattern(cut, " ")
+        pieces = lists.flatten()
         counts = pc.list_value_length(lists).to_numpy().astype(np.int64)
         if self.blanks_matter:
-            at[np.cumsum(counts) - counts] = np.arange(len(strings), len(strings) + len(cut))
-            strings += [(text.split(" ", 1)[0],) for text in cut]
-            used = len(strings)
+            firsts, others, sizes = [" " + texts[i].split(" ", 1)[0] for i in even], [], []
             for i in uneven:
                 own = _LONE_BLANK.split(texts[i])
-                strings.append((own[0],))
-                strings += own[1:]
-                counts = np.append(counts, len(own))
-            at = np.append(at, np.arange(used, len(strings)))
-        ids, lengths = self.known_pieces.take(self.known_pieces.places(strings)[at])
+                others += [" " + own[0], *own[1:]]
+                sizes.append(len(own))
+            at = self.known_pieces.places(pa.concat_arrays([pieces, _strings(firsts + others)]))
+            at[np.cumsum(counts) - counts] = at[len(pieces) : len(pieces) + len(firsts)]
+            at = np.delete(at, slice(len(pieces), len(pieces) + len(firsts)))
+            counts = np.append(counts, sizes).astype(np.int64)
+        else:
+            at = self.known_pieces.places(pieces)
+        ids, lengths = self.known_pieces.take(at)
         ends = np.cumsum(_summed(lengths, counts))
-        found = dict(zip([*even, *uneven], np.split(ids, ends[:-1])))
+        found = dict(zip([*even.tolist(), *uneven], np.split(ids, ends[:-1])))
         return map(found.get, range(len(texts)))
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
+        texts = list(texts)
+        total = sum(map(len, texts))
+        # even slices: what is left over would cost as much as a whole one
+        share = total / max(1, round(total / SLICE_CHARACTERS))
         group, size = [], 0
         for text in texts:
             group.append(text)
             size += len(text)
-            if size >= SLICE_CHARACTERS:
+            if size >= share:
                 yield from self._slice(group)
                 group, size = [], 0
         if group:
