@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from filmdw.llm.memory import BATCH, give_back
 from filmdw.llm.tokens import encoder, vocabulary
-from filmdw.session import scratch_root
+from filmdw.session import conf, scratch_root
 
 END_TOKEN = 2
 #: rows of an index entry, bytes of a stripe, false positives of the Bloom filter
@@ -57,10 +58,11 @@ def write(docs: DataFrame, target: str, path: str | None = None, end_token: int
                 ["doc_id", "part", "start_in_part", "n_tokens", "ids"],
             )
             start += int(lengths.sum())
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    (
+    written = (
         ranged.mapInArrow(encode, SCHEMA)
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", FALSE_POSITIVES)
@@ -68,8 +70,9 @@ def write(docs: DataFrame, target: str, path: str | None = None, end_token: int
         .option("orc.row.index.stride", INDEX_ROWS)
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.compress", "ZSTD")
-        .orc(target)
     )
+    with conf(docs.sparkSession, **BATCH):
+        written.orc(target)
 
 
 def read(spark: SparkSession, target: str) -> DataFrame:
