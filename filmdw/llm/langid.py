@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from filmdw.llm.memory import give_back
 from filmdw.llm.words import free_name
 
 PER_LANGUAGE = 600
@@ -282,6 +283,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str], prefix: str =
                 [*batch.columns[: len(keep)], pa.array(names, pa.string()), pa.array(top), pa.array(rejected, pa.bool_())],
                 [*keep, *names_out],
             )
+        give_back()
 
     names_out = [f"{prefix}{n}" for n in ("lang_pred", "score", "rejected")]
     # a text that is kept is not sent twice

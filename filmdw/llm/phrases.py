@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from filmdw.llm.blocks import by_shard, in_blocks, inside, packed, placed, recurring, table_of, texts_of, unpacked
 from filmdw.llm.blocks import BLOCKS_PER_SHARD
 from filmdw.llm.hashing import run_hashes, slices, word_hashes
+from filmdw.llm.memory import give_back
 
 WINDOW = 13
 ANCHOR = 5
@@ -151,6 +152,7 @@ def remove_repeats(
         one, two, owner = _answer(right, ("one", np.uint64), ("two", np.uint64), ("owner", np.int64))
         left = placed(left)
         found = table_of(_RESULT, _stream(*texts_of(left), one, two, owner, window))
+        give_back()
         return found.append_column("carried", left["carried"])
 
     blocks_of = dealt.groupBy("block")
