@@ -21,7 +21,7 @@ import regex
 #: characters of either generation of pieces, and of pretokens, held in the tables of a worker
 KEPT_CHARACTERS = 1_000_000
 #: characters of text encoded at a time
-SLICE_CHARACTERS = 2_000_000
+SLICE_CHARACTERS = 2_500_000
 #: pretokens of the byte-level vocabulary; with word ends, the file has its own pattern
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: characters that are blanks to one of the two pattern libraries only
