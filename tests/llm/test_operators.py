@@ -531,3 +531,33 @@ def test_a_long_table_in_different_surroundings(spark):
     assert max((after - first).max() for *_, first, after in segments) > 3000
     found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
     assert tuples(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeat_rows(rows)
+
+
+def test_only_suffixes_that_are_sought_are_ordered():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, *rng.integers(2, 300, 60).tolist()):
+        text = rng.integers(97, 99, n).astype(np.uint8)
+        sought = rng.random(n) < 0.3
+        data = text.tobytes() + bytes(64)
+        order, common = repeats.suffix_array(text, 64, sought)
+        assert sorted(order.tolist()) == np.flatnonzero(sought).tolist()
+        for i in range(1, len(order)):
+            a, b = data[order[i - 1] : order[i - 1] + 64], data[order[i] : order[i] + 64]
+            shared = next((j for j, (x, y) in enumerate(zip(a, b)) if x != y), 64)
+            room = n - max(order[i - 1], order[i])
+            assert a <= b and min(int(common[i]), room) == min(shared, room)
+
+
+def test_segments_that_share_no_window_stay_out_of_the_suffix_array(monkeypatch):
+    part = lambda seed, n: " ".join(brute.sentence(seed, n)).encode()
+    anchor, shared = part(100, 12), part(101, 100)
+    apart = [part(i, 90) + anchor + part(i + 50, 90) for i in range(40)]
+    alike = [part(i, 40) + shared + part(i + 50, 40) for i in (200, 300, 400)]
+    segments = [*apart[:25], alike[0], *apart[25:], *alike[1:], b"short", b"z" * 900]
+    given, ordered = [], repeats.suffix_array
+    monkeypatch.setattr(repeats, "suffix_array", lambda text, *more: given.append(len(text)) or ordered(text, *more))
+    for found, (_, _, gone, spans, _) in zip(repeats.repeated_in(segments, 400), ordered_repeats(segments), strict=True):
+        assert (sum(b - a for a, b in found), len(found)) == (gone, spans)
+    assert given == [sum(map(len, alike)) + 900 + 5]
+    # nothing recurs: nothing is ordered
+    assert repeats.repeated_in(apart, 400) == [[]] * 40 and len(given) == 1
