@@ -142,6 +142,10 @@ class Encoder:
             # no piece has a line break: it stands between pieces
             self.pretokens = regex.compile(pattern + r"|\n").findall
         self.points = np.array([ord(c) for c in _byte_names()], "<u4")
+        self._clear()
+
+    def _clear(self) -> None:
+        """Forget all pieces and pretokens."""
         self.known_pretokens = Table(self._learn_pretokens)
         self.known_pieces = Table(self._learn)
 
